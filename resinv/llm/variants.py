@@ -153,7 +153,7 @@ def classes_of_stem(readings: list[tuple[tuple[str, ...], str, str, int]]) -> li
             ]
         if len(fits) == 1:
             add(i, fits[0])
-        elif not fits:
+        elif not fits and code not in ("d", "k", "b"):  # a suffix cut short is no initial
             centres.append({"subject": [], "kinds": set(), "codes": set(), "forms": set()})
             add(i, len(centres) - 1)
     for i in order:
