@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from resinv.llm.canonical import map_to_list
 from resinv.llm.leaks import leaked_windows, word_hashes
 from resinv.llm.near import similar_sets, word_set
+from resinv.llm.prose import quality
 from resinv.llm.resources import is_name, occurrences, readable_date, url_host, with_group
 from resinv.llm.survivors import Bundle, Dependency, best_bundles
 from resinv.llm.variants import as_pairs, name_classes
@@ -182,3 +183,18 @@ def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
     per = found.groupBy("item_id", "doc_id").agg(F.countDistinct("item_pos").alias("windows"), F.min("edits").alias("least_edits"))
     sizes = items.select(F.col("item_id").alias("i"), (F.size(word_hashes(F.col("text"))) - 11).alias("of_windows"))
     return per.join(sizes, per["item_id"] == sizes["i"]).select("item_id", "doc_id", "windows", "of_windows", "least_edits")
+
+
+# 9. per-document text quality statistics
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that are not natural prose."""
+    return quality(table(spark, d, "documents")).filter(~F.col("prose")).select("doc_id").distinct()
+
+
+@query
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """All statistics of every document, with percentiles and robust z-scores within its language."""
+    return quality(table(spark, d, "documents"))
