@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from resinv.llm.canonical import map_to_list
 from resinv.llm.leaks import leaked_windows, word_hashes
+from resinv.llm.mixing import mix, token_counts
 from resinv.llm.near import similar_sets, word_set
 from resinv.llm.prose import quality
+from resinv.llm.ranking import rank_aggregate
 from resinv.llm.resources import is_name, occurrences, readable_date, url_host, with_group
 from resinv.llm.survivors import Bundle, Dependency, best_bundles
 from resinv.llm.variants import as_pairs, name_classes
@@ -198,3 +201,60 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     """All statistics of every document, with percentiles and robust z-scores within its language."""
     return quality(table(spark, d, "documents"))
+
+
+# 4. one ranking from several differently-scaled scores
+
+
+@query
+def p4_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """The papers of the union by robust rank aggregation of their four scores."""
+    union = table(spark, d, "union_papers_with_primary_resources").select("pmid", "ling_score", "setfit_confidence", "primary_score")
+    scans = table(spark, d, "papers_with_scanner_scores").groupBy("pmid").agg(F.max("url_scanner_score").alias("url_scanner_score"))
+    papers = union.join(scans, "pmid", "left")
+    return rank_aggregate(papers, "pmid", ["ling_score", "setfit_confidence", "primary_score", "url_scanner_score"])
+
+
+def _rank_sql() -> str:
+    ranks, branches = [], []
+    for i, s in enumerate(("ling_score", "setfit_confidence", "primary_score", "url_scanner_score")):
+        r = f"(rank() OVER (ORDER BY CAST({s} AS DOUBLE) DESC NULLS LAST) + (count(*) OVER (PARTITION BY CAST({s} AS DOUBLE)) - 1) / 2.0) / count({s}) OVER ()"
+        ranks.append(f"CASE WHEN {s} IS NOT NULL THEN {r} END AS r{i}")
+    for n in range(1, 5):
+        looks = []
+        for k in range(1, n + 1):
+            terms = [f"{math.comb(n, j)} * pow(r[{k}], {j}) * pow(1 - r[{k}], {n - j})" for j in range(k, n + 1)]
+            looks.append("(" + " + ".join(terms) + ")")
+        branches.append(f"WHEN {n} THEN least(1.0, {n} * least({', '.join(looks)}))")
+    return f"""
+WITH scans AS (SELECT pmid, max(url_scanner_score) AS url_scanner_score FROM papers_with_scanner_scores GROUP BY pmid),
+papers AS (SELECT u.pmid, ling_score, setfit_confidence, primary_score, url_scanner_score
+           FROM union_papers_with_primary_resources u LEFT JOIN scans USING (pmid)),
+ranks AS (SELECT pmid, {", ".join(ranks)} FROM papers),
+lists AS (SELECT pmid, list_sort(list_filter([r0, r1, r2, r3], x -> x IS NOT NULL)) AS r FROM ranks),
+rhos AS (SELECT pmid, CAST(len(r) AS INTEGER) AS scored,
+                round(CAST(CASE len(r) {" ".join(branches)} ELSE 1.0 END AS DOUBLE), 12) AS rho FROM lists)
+SELECT pmid, scored, rho, rank() OVER (ORDER BY rho) AS rank FROM rhos"""
+
+
+SQL["p4_ranking"] = _rank_sql()
+
+
+# 8. mixing sources to target weights
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    counted = cut(token_counts(table(spark, d, "documents").select("doc_id", "source", "text"), "text"))
+    return mix(counted, "doc_id", "source", "tokens", table(spark, d, "mix_targets"))
+
+
+@query
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mixture, with their shard and how many times they are used in it."""
+    return _mixed(spark, d)[0].withColumnRenamed("id", "doc_id")
+
+
+@query
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Per source the wanted and the actual share of all tokens, the stock, the tokens used and the repeats."""
+    return _mixed(spark, d)[1]
