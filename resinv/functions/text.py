@@ -188,7 +188,7 @@ def json_list(x: Column | str) -> Column:
 
 def split_list(x: Column | str, separator: str = ",") -> Column:
     """The trimmed non-blank pieces of a delimited cell; [] for null."""
-    pieces = F.transform(F.split(filled(x), F.lit(f"[{separator}]")), F.trim)
+    pieces = F.transform(F.split(filled(x), F.lit(f"[{separator}]")), lambda x: F.trim(x))
     return F.filter(pieces, lambda p: p != "")
 
 

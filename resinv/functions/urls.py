@@ -105,9 +105,9 @@ def is_platform(host: Column) -> Column:
     return _ends(host, X.PLATFORMS)
 
 
-def effective_domain(url: Column | str) -> Column:
-    p = url_components(url, "match")
-    return F.when(is_platform(p["full_domain"]), p["full_domain"]).otherwise(p["base_domain"])
+def effective_domain(host: Column, base: Column) -> Column:
+    """The whole host on platforms, else the registered domain; both as ``url_components(.., "match")`` gives them."""
+    return F.when(is_platform(host), host).otherwise(base)
 
 
 def is_excluded_domain(url: Column | str) -> Column:
@@ -227,7 +227,7 @@ def extract_urls_recovery(text: Column | str) -> Column:
 
 def filter_url_list(urls: Column | str, separator: str = "|") -> tuple[Column, Column]:
     """The kept URLs of a packed list, NOT_FOUND if none is, and the reasons of the others."""
-    pieces = F.filter(F.transform(F.split(filled(urls), f"[{separator}]"), F.trim), lambda u: u != "")
+    pieces = F.filter(F.transform(F.split(filled(urls), f"[{separator}]"), lambda x: F.trim(x)), lambda u: u != "")
     tagged = F.transform(pieces, lambda u: F.struct(u.alias("u"), exclusion_reason(u).alias("r")))
     kept = F.transform(F.filter(tagged, lambda s: s["r"] == ""), lambda s: s["u"])
     reasons = F.transform(F.filter(tagged, lambda s: s["r"] != ""), lambda s: s["r"])

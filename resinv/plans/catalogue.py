@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from resinv.plans import packed_queries, text_queries  # noqa: F401  (registers queries)
+from resinv.plans import packed_queries, text_queries, url_queries  # noqa: F401  (registers queries)
 from resinv.plans.registry import QUERIES, SQL, Query
 
 FLAGSHIP = "p2_found"
