@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from resinv.plans import packed_queries, text_queries, url_queries  # noqa: F401  (registers queries)
+from resinv.plans import entity_queries, inventory_queries, match_queries, packed_queries, text_queries, url_queries  # noqa: F401  (registers queries)
 from resinv.plans.registry import QUERIES, SQL, Query
 
-FLAGSHIP = "p2_found"
+FLAGSHIP = "dedup_by_url_entity"
 
 
 def queries() -> dict[str, Query]:
