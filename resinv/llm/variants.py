@@ -207,7 +207,10 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     stems = cut(stems)
     exploded = stems.select("stem", F.explode(_deletions("stem")).alias("form"))
     a, b = exploded.select(F.col("stem").alias("a"), "form"), exploded.select(F.col("stem").alias("b"), "form")
-    near = a.join(b, "form").filter("a < b").select("a", "b").distinct().withColumn("d", _distance("a", "b")).filter("d <= 2")
+    # two edits are at most three plain edits unless both are swaps, which keep the letters
+    letters = lambda x: F.array_sort(F.split(x, ""))
+    close = (F.levenshtein("a", "b", 3) >= 0) | ((F.length("a") == F.length("b")) & (letters("a") == letters("b")))
+    near = a.join(b, "form").filter("a < b").select("a", "b").distinct().filter(close).withColumn("d", _distance("a", "b")).filter("d <= 2")
     with_rows = occ.join(parsed.select("name", "stem"), "name").select("row", "stem").distinct()
     ra, rb = with_rows.select("row", F.col("stem").alias("a")), with_rows.select("row", F.col("stem").alias("b"))
     together = near.join(ra, "a").join(rb, ["row", "b"]).select("a", "b").distinct().withColumn("together", F.lit(True))
@@ -239,12 +242,28 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     # 3. initial forms: subjects and codes within a stem, on distinct readings
     readings = parsed.groupBy("stem", "subject", "kind", "code").agg(F.sum("n").alias("n"))
 
-    def label(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [(tuple(s), k, c, int(n)) for s, k, c, n in zip(pdf.subject, pdf.kind, pdf.code, pdf.n)]
-        pdf["part"] = classes_of_stem(rows)
-        return pdf[["stem", "subject", "kind", "code", "part"]]
-
-    labelled = readings.groupBy("stem").applyInPandas(label, "stem string, subject array<string>, kind string, code string, part int")
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+
+        def close() -> list[tuple]:
+            parts = classes_of_stem([(tuple(s), k, c, int(n)) for _, s, k, c, n in held])
+            return [(stem, s, k, c, p) for (stem, s, k, c, _), p in zip(held, parts)]
+
+        names = ["stem", "subject", "kind", "code", "part"]
+        for pdf in batches:
+            done: list[tuple] = []
+            for row in zip(pdf.stem, pdf.subject, pdf.kind, pdf.code, pdf.n):
+                if held and held[0][0] != row[0]:
+                    done += close()
+                    held = []
+                held.append(row)
+            yield pd.DataFrame(done, columns=names)
+        if held:
+            yield pd.DataFrame(close(), columns=names)
+
+    # one stem's readings are neighbours after the sort; the stream holds one stem at a time
+    tasks = max(1, int(occurrences.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    labelled = readings.repartition(tasks, "stem").sortWithinPartitions("stem").mapInPandas(label, "stem string, subject array<string>, kind string, code string, part int")
     keyed = cut(parsed.join(labelled, ["stem", "subject", "kind", "code"]).select("name", "stem", "part"))
     # a family's bare names belong to the subject they share most rows with
     ours = occ.join(keyed.filter(F.col("part") == OPEN).select("name", "stem"), "name").select("row", "name", "stem")
