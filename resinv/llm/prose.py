@@ -130,15 +130,22 @@ def statistics(text: str | None, words: set[str], pairs: set[tuple[str, str]], r
     return out
 
 
-def _common(docs: DataFrame, sizes: dict[str, int], terms: Column, share: float, limit: int) -> set[str]:
-    """The terms in at least a share of some language's documents (three at least)."""
-    counted = docs.select("lang", F.explode(F.array_distinct(terms)).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("n"))
-    least = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(max(3.0, share * n)))])
-    common = counted.filter(F.col("n") >= least[F.col("lang")]).select("term").distinct()
+def _common(docs: DataFrame, sizes: dict[str, int], word_share: float, pair_share: float, limit: int) -> tuple[set[str], set[tuple[str, str]]]:
+    """The words and the pairs in at least a share of some language's documents (three at least).
+
+    ``docs`` holds (lang, t), t the words of a text; words and pairs are counted in one pass.
+    """
+    pairs = F.zip_with(F.slice("t", F.lit(1), F.size("t") - 1), F.slice("t", F.lit(2), F.size("t") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    terms = F.when(F.size("t") > 1, F.concat(F.array_distinct("t"), F.array_distinct(pairs))).otherwise(F.col("t"))
+    counted = docs.select("lang", F.explode(terms).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("n"))
+    least = lambda share: F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(max(3.0, share * n)))])[F.col("lang")]
+    enough = F.when(F.col("term").contains(" "), F.col("n") >= least(pair_share)).otherwise(F.col("n") >= least(word_share))
+    common = cut(counted.filter(enough).select("term").distinct())
     n = common.count()
     if n > limit:  # cannot be while documents have fewer than limit * share / languages terms on average
-        raise ValueError(f"{n} common terms: texts are too long for the share {share}")
-    return {r.term for r in common.collect()}
+        raise ValueError(f"{n} common terms: texts are too long for the shares {word_share} and {pair_share}")
+    found = [r.term for r in common.collect()]
+    return {t for t in found if " " not in t}, {tuple(t.split(" ")) for t in found if " " in t}
 
 
 def _at_most(column: str):
@@ -172,9 +179,7 @@ def quality(
         lambda w: F.when(w.rlike(r"^\p{Nd}+$"), "#").when(w.rlike(r"\p{Nd}"), "g#").otherwise(w),
     )
     tokens = docs.select("lang", shaped.alias("t"))
-    words = _common(tokens, sizes, F.col("t"), word_share, term_limit)
-    pair = F.when(F.size("t") > 1, F.zip_with(F.slice("t", F.lit(1), F.size("t") - 1), F.slice("t", F.lit(2), F.size("t") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    pairs = {tuple(p.split(" ")) for p in _common(tokens, sizes, pair, pair_share, term_limit)}
+    words, pairs = _common(tokens, sizes, word_share, pair_share, term_limit)
     context = documents.sparkSession.sparkContext
     shared = context.broadcast((words, pairs))  # bounded: checked against term_limit
 
