@@ -231,7 +231,7 @@ WITH scans AS (SELECT pmid, max(url_scanner_score) AS url_scanner_score FROM pap
 papers AS (SELECT u.pmid, ling_score, setfit_confidence, primary_score, url_scanner_score
            FROM union_papers_with_primary_resources u LEFT JOIN scans USING (pmid)),
 ranks AS (SELECT pmid, {", ".join(ranks)} FROM papers),
-lists AS (SELECT pmid, list_sort(list_filter([r0, r1, r2, r3], x -> x IS NOT NULL)) AS r FROM ranks),
+lists AS (SELECT pmid, list_sort(list_filter([r0, r1, r2, r3], lambda x: x IS NOT NULL)) AS r FROM ranks),
 rhos AS (SELECT pmid, CAST(len(r) AS INTEGER) AS scored,
                 round(CAST(CASE len(r) {" ".join(branches)} ELSE 1.0 END AS DOUBLE), 12) AS rho FROM lists)
 SELECT pmid, scored, rho, rank() OVER (ORDER BY rho) AS rank FROM rhos"""
@@ -258,3 +258,18 @@ def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     """Per source the wanted and the actual share of all tokens, the stock, the tokens used and the repeats."""
     return _mixed(spark, d)[1]
+
+
+# SQL twins of the exact searches
+
+_W = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+SQL["p5_found"] = f"""
+WITH s AS (SELECT DISTINCT id, list_sort(list_distinct({_W.format("coalesce(title, '') || ' ' || coalesce(abstract, '')")})) AS w
+           FROM papers_metadata WHERE trim(coalesce(id, '')) <> ''),
+p AS (SELECT a.id AS id_a, b.id AS id_b, len(list_intersect(a.w, b.w)) AS i, len(a.w) + len(b.w) AS n FROM s a JOIN s b ON a.id < b.id)
+SELECT DISTINCT id_a, id_b FROM p WHERE 10 * i > 7 * (n - i)"""
+SQL["p7_found"] = f"""
+WITH d0 AS (SELECT doc_id, {_W.format("coalesce(text, '')")} AS w FROM documents), i0 AS (SELECT item_id, {_W.format("coalesce(text, '')")} AS w FROM eval_items),
+d1 AS (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS p FROM d0), i1 AS (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS p FROM i0),
+d2 AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 11], ' ') AS g FROM d1), i2 AS (SELECT DISTINCT item_id, array_to_string(w[p:p + 11], ' ') AS g FROM i1)
+SELECT DISTINCT item_id, doc_id FROM d2 JOIN i2 USING (g)"""
