@@ -58,13 +58,13 @@ def candidates(a: DataFrame, b: DataFrame, least: int = 4) -> DataFrame:
     """
     ka = a.select("a_low", F.explode(_keys(F.col("a_low"), F.col("a_eff"))).alias("k"))
     kb = b.select("b_low", F.explode(_keys(F.col("b_low"), F.col("b_eff"))).alias("k"))
-    blocked = ka.join(kb, "k").select("a_low", "b_low")
+    blocked = ka.hint("merge").join(kb, "k").select("a_low", "b_low")
     n = F.lit(least)
     wa = a.filter(F.length("a_low") >= least).select("a_low", F.explode(F.array_distinct(_windows(F.col("a_low"), n))).alias("k"))
     wb = b.filter(F.length("b_low") >= least).select("b_low", F.explode(F.array_distinct(_windows(F.col("b_low"), n))).alias("k"))
     ha = a.filter(F.length("a_low") >= least).select("a_low", F.substring("a_low", 1, least).alias("k"))
     hb = b.filter(F.length("b_low") >= least).select("b_low", F.substring("b_low", 1, least).alias("k"))
-    inside = wa.join(hb, "k").filter(F.contains(F.col("a_low"), F.col("b_low"))).select("a_low", "b_low").unionByName(ha.join(wb, "k").filter(F.contains(F.col("b_low"), F.col("a_low"))).select("a_low", "b_low"))
+    inside = wa.hint("merge").join(hb, "k").filter(F.contains(F.col("a_low"), F.col("b_low"))).select("a_low", "b_low").unionByName(ha.hint("merge").join(wb, "k").filter(F.contains(F.col("b_low"), F.col("a_low"))).select("a_low", "b_low"))
     return blocked.unionByName(inside).filter("a_low <> b_low").distinct()
 
 
