@@ -192,7 +192,7 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     from_rule = spelt.select("stem", "n", F.explode(F.array(*map(F.lit, SUFFIXES))).alias("code"))
     forms = from_subject.unionByName(from_code).unionByName(from_rule).groupBy("stem", "code").agg(F.sum("n").alias("w")).withColumn("form", F.concat("stem", "code"))
     plain = parsed.filter((F.size("subject") == 0) & (F.col("code") == "") & (F.col("kind") == ""))
-    cuts = plain.select(F.col("stem").alias("form")).distinct().join(forms, "form").groupBy("form").agg(F.max(F.struct(F.length("stem").alias("l"), "w", "stem", "code")).alias("best"))
+    cuts = plain.select(F.col("stem").alias("form")).distinct().hint("merge").join(forms, "form").groupBy("form").agg(F.max(F.struct(F.length("stem").alias("l"), "w", "stem", "code")).alias("best"))
     cuts = cuts.select("form", F.col("best.stem").alias("cut_stem"), F.col("best.code").alias("cut_code"))
     parsed = (
         parsed.withColumn("form", F.when((F.size("subject") == 0) & (F.col("code") == "") & (F.col("kind") == ""), F.col("stem")))
@@ -207,13 +207,14 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     stems = cut(stems)
     exploded = stems.select("stem", F.explode(_deletions("stem")).alias("form"))
     a, b = exploded.select(F.col("stem").alias("a"), "form"), exploded.select(F.col("stem").alias("b"), "form")
+    # exploded forms are far larger than the planner believes, so the join must not broadcast them
     # two edits are at most three plain edits unless both are swaps, which keep the letters
     letters = lambda x: F.array_sort(F.split(x, ""))
     close = (F.levenshtein("a", "b", 3) >= 0) | ((F.length("a") == F.length("b")) & (letters("a") == letters("b")))
-    near = a.join(b, "form").filter("a < b").select("a", "b").distinct().filter(close).withColumn("d", _distance("a", "b")).filter("d <= 2")
-    with_rows = occ.join(parsed.select("name", "stem"), "name").select("row", "stem").distinct()
+    near = a.hint("merge").join(b, "form").filter("a < b").select("a", "b").distinct().filter(close).withColumn("d", _distance("a", "b")).filter("d <= 2")
+    with_rows = occ.hint("merge").join(parsed.select("name", "stem"), "name").select("row", "stem").distinct()
     ra, rb = with_rows.select("row", F.col("stem").alias("a")), with_rows.select("row", F.col("stem").alias("b"))
-    together = near.join(ra, "a").join(rb, ["row", "b"]).select("a", "b").distinct().withColumn("together", F.lit(True))
+    together = near.join(ra.hint("merge"), "a").join(rb.hint("merge"), ["row", "b"]).select("a", "b").distinct().withColumn("together", F.lit(True))
     links = (
         near.join(together, ["a", "b"], "left")
         .join(stems.select(F.col("stem").alias("a"), F.col("support").alias("sa"), F.col("keys").alias("ka")), "a")
@@ -225,8 +226,8 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     has_subject = parsed.groupBy("stem").agg(F.max((F.size("subject") > 0) | (F.col("kind") != "")).alias("long"))
     bare = has_subject.filter("not long and length(stem) >= 5").select(F.col("stem").alias("a"))
     longer = stems.select(F.col("stem").alias("b"), F.explode(F.sequence(F.lit(2), F.lit(5))).alias("k")).filter("length(b) - k >= 5").select("b", F.expr("substring(b, 1, length(b) - k)").alias("a"))
-    cutoff = bare.join(longer, "a")
-    seen = cutoff.join(ra, "a").join(rb, ["row", "b"]).select("a", "b").distinct().withColumn("together", F.lit(True))
+    cutoff = bare.hint("merge").join(longer, "a")
+    seen = cutoff.join(ra.hint("merge"), "a").join(rb.hint("merge"), ["row", "b"]).select("a", "b").distinct().withColumn("together", F.lit(True))
     only = Window.partitionBy("a")
     cutoff = cutoff.join(seen, ["a", "b"], "left").withColumn("choices", F.count("*").over(only)).filter("together or choices = 1")
     cutoff = cutoff.join(stems.select(F.col("stem").alias("b"), F.col("support").alias("ts")), "b").selectExpr("a as s", "b as t", "-1L as ss", "ts", "1 as d", "together")
@@ -264,7 +265,7 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     # one stem's readings are neighbours after the sort; the stream holds one stem at a time
     tasks = max(1, int(occurrences.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     labelled = readings.repartition(tasks, "stem").sortWithinPartitions("stem").mapInPandas(label, "stem string, subject array<string>, kind string, code string, part int")
-    keyed = cut(parsed.join(labelled, ["stem", "subject", "kind", "code"]).select("name", "stem", "part"))
+    keyed = cut(parsed.hint("merge").join(labelled, ["stem", "subject", "kind", "code"]).select("name", "stem", "part"))
     # a family's bare names belong to the subject they share most rows with
     ours = occ.join(keyed.filter(F.col("part") == OPEN).select("name", "stem"), "name").select("row", "name", "stem")
     theirs = occ.join(keyed.filter(F.col("part") >= 0).withColumnRenamed("name", "other"), occ.name == F.col("other")).select("row", "stem", "part").distinct()
