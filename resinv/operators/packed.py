@@ -79,6 +79,10 @@ def _org_noun(word: str) -> bool:
     return _org_cache[word]
 
 
+def _conjunction(word: str) -> bool:
+    return 2 <= len(word) <= 4 and _near(word, "and")
+
+
 def _badness_org(atoms: list[str]) -> float:
     """0 for a sound organisation made of these comma-separated atoms, more the less it looks like one."""
     nouns = [any(_org_noun(w) for w in a.split()) for a in atoms]
@@ -89,10 +93,10 @@ def _badness_org(atoms: list[str]) -> float:
         return 0.45 if len(first) >= 3 else 0.5 if first and first[0].lower() == first[0] else 1.0
     tail = len(last) == 1 and last[0][:1].isupper() and not _acronym(last[0]) and not nouns[-1]
     core = nouns[:-1] if tail else nouns
-    listed = len(core) == 1 or bool(_AND.search(atoms[len(core) - 1]))  # "Health, Education and Welfare"
+    listed = len(core) == 1 or any(w == "&" or _conjunction(w.lower()) for w in atoms[len(core) - 1].split()[1:])  # "Health, Education and Welfare"
     if atoms[0][:1].islower() and atoms[-1][:1].isupper():
         listed = False  # "none declared" before a name
-    if sum(core) == 1 and (core[-1] or core[0]) and listed and all(len(a.split()) <= 3 for a in atoms[: len(core) - 1]):
+    if sum(core) == 1 and (core[-1] or core[0]) and listed and all(len(a.split()) <= 5 for a in atoms[: len(core) - 1]):
         return 0.0
     return 1.2 * (len(atoms) - 1)
 
