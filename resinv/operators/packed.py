@@ -28,7 +28,7 @@ PARTICLES = "van von de der den di da del la le ter ten bin al".split()
 ORG_NOUNS = (
     "council fund funds trust foundation agency institute board university ministry society centre center "
     "department programme program commission academy association office donor ltd inc gmbh company "
-    "consortium charity college hospital corporation"
+    "consortium charity college hospital corporation grant grants award fellowship scholarship"
 ).split()
 ORG_ABBREVIATIONS = "inst found fdn counc ag bd univ dept soc assoc fnd agcy tr co".split()
 
@@ -75,7 +75,7 @@ def _org_noun(word: str) -> bool:
     if word not in _org_cache:
         if len(_org_cache) > 50_000:
             _org_cache.clear()
-        _org_cache[word] = word in ORG_ABBREVIATIONS or word in ORG_NOUNS or len(word) > 3 and any(_near(word, noun) for noun in ORG_NOUNS if len(noun) > 3)
+        _org_cache[word] = word in ORG_ABBREVIATIONS or word in ORG_NOUNS or any(_near(word, a) for a in ORG_ABBREVIATIONS if len(a) > 4) or len(word) > 3 and any(_near(word, noun) for noun in ORG_NOUNS if len(noun) > 3)
     return _org_cache[word]
 
 
