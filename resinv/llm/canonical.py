@@ -75,11 +75,11 @@ def grams(text: str) -> list[str]:
     return sorted(out)
 
 
-def _alike(v: str, c: str) -> float:
-    """How far the typed word v can stand for the listed word c, from 0 to 1."""
+def _alike(v: str, c: str, loose: bool = False) -> float:
+    """How far the typed word v can stand for the listed word c, from 0 to 1; loose among many words."""
     if v == c:
         return 1.0
-    limit = max(1, round(0.3 * len(c))) if len(c) > 2 else 0
+    limit = (int(0.34 * len(c) + 0.67) if loose else max(1, round(0.3 * len(c)))) if len(c) > 2 else 0
     near = 0.0
     if limit and (d := osa(v, c, limit)) <= limit:
         near = 1 - d / max(len(v), len(c))
@@ -112,7 +112,10 @@ def aligned_cosine(value: str, entry: str, weight: dict[str, float], rare: float
     cs = [w for w in entry.split() if w not in STOP_WORDS]
     if not vs or not cs:
         return 0.0
-    pairs = sorted(((_alike(v, c), -abs(i / len(vs) - j / len(cs)), i, j) for i, v in enumerate(vs) for j, c in enumerate(cs)), reverse=True)
+    if len(value) >= 5 and len(vs) < len(cs) + 1 and entry.startswith(value) and len(vs[-1]) < len(cs[len(vs) - 1]):
+        return 0.9  # the beginning of the name, cut within a word
+    loose = len(cs) >= 3
+    pairs = sorted(((_alike(v, c, loose), -abs(i / len(vs) - j / len(cs)), i, j) for i, v in enumerate(vs) for j, c in enumerate(cs)), reverse=True)
     used_v: dict[int, float] = {}
     used_c: set[int] = set()
     dot = 0.0
@@ -137,7 +140,7 @@ def map_to_list(
     entry_id: str,
     entry_name: str,
     entry_codes: list[str],
-    threshold: float = 0.60,
+    threshold: float = 0.55,
     margin: float = 0.02,
     retrieval: float = 0.25,
 ) -> DataFrame:
