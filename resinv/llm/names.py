@@ -115,8 +115,10 @@ def _short(word: str) -> Name:
         return Name(m[1].lower(), (), "", m[2].lower(), flat)
     if m := re.match(r"^(.*[a-z]{3,})(DB|KB|Base|BASE)$", word):
         return Name(m[1].lower(), (), "", m[2].lower(), flat)
-    if m := re.match(r"^(.*[a-z]{3,})([A-Z]{1,6})$", word):
+    if m := re.match(r"^(.*[a-z]{3,})([A-Z]{1,6}|[A-Z][A-Za-z]{1,3}[A-Z])$", word):
         return Name(m[1].lower(), (), "", m[2].lower(), flat)
+    if (m := re.match(r"^(.*[a-z]{4,})(B[a-z]{2,4})$", word)) and osa(m[2].lower(), "base", 1) <= 1:
+        return Name(m[1].lower(), (), "", "base", m[1].lower() + "base")
     return Name(flat, (), "", "", flat)
 
 

@@ -131,7 +131,8 @@ def classes_of_stem(readings: list[tuple[tuple[str, ...], str, str, int]]) -> li
         subject, kind, code, _ = readings[i]
         if not subject:
             continue
-        found = next((c for c, centre in enumerate(centres) if _subject_alike(list(subject), centre["subject"])), None)
+        tries = [list(subject)] if kind or len(subject) < 3 else [list(subject), list(subject[:-1])]  # the last word may be a kind beyond recognition
+        found = next((c for t in tries for c, centre in enumerate(centres) if _subject_alike(t, centre["subject"])), None)
         if found is None:
             centres.append({"subject": list(subject), "kinds": set(), "codes": set(), "forms": set()})
             found = len(centres) - 1
@@ -151,9 +152,11 @@ def classes_of_stem(readings: list[tuple[tuple[str, ...], str, str, int]]) -> li
                 for c, centre in enumerate(centres)
                 if any((code.startswith(f) and code[len(f) :] in ({"db", "kb"} | kinds_first)) or (f.startswith(code) and f[len(code) :] in ({"db", "kb"} | kinds_first)) for f in centre["forms"] | centre["codes"] if len(f) > 1 or len(code) <= 2)
             ]
+        if not fits and len(code) >= 3:  # one letter too many
+            fits = [c for c, centre in enumerate(centres) if any(len(f) == len(code) - 1 >= 2 and osa(code, f, 1) == 1 for f in centre["forms"] | centre["codes"])]
         if len(fits) == 1:
             add(i, fits[0])
-        elif not fits and code not in ("d", "k", "b"):  # a suffix cut short is no initial
+        elif not fits and code not in ("d", "k", "b", "bd", "bk"):  # a suffix cut short is no initial
             centres.append({"subject": [], "kinds": set(), "codes": set(), "forms": set()})
             add(i, len(centres) - 1)
     for i in order:
@@ -230,7 +233,10 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     seen = cutoff.join(ra.hint("merge"), "a").join(rb.hint("merge"), ["row", "b"]).select("a", "b").distinct().withColumn("together", F.lit(True))
     only = Window.partitionBy("a")
     cutoff = cutoff.join(seen, ["a", "b"], "left").withColumn("choices", F.count("*").over(only)).filter("together or choices = 1")
-    cutoff = cutoff.join(stems.select(F.col("stem").alias("b"), F.col("support").alias("ts")), "b").selectExpr("a as s", "b as t", "-1L as ss", "ts", "1 as d", "together")
+    cutoff = cutoff.join(stems.select(F.col("stem").alias("b"), F.col("support").alias("ts")), "b").selectExpr("a as s", "b as t", "-1L as ss", "ts", "1 as d", "together", "a as a_", "b as b_")
+    pair = cutoff.select(F.least("a_", "b_").alias("a"), F.greatest("a_", "b_").alias("b")).distinct()
+    links = links.join(pair, ["a", "b"], "left_anti")  # such a pair has one direction only, from short to long
+    cutoff = cutoff.drop("a_", "b_")
     both = links.selectExpr("a as s", "b as t", "sa as ss", "sb as ts", "d", "together").unionByName(links.selectExpr("b as s", "a as t", "sb as ss", "sa as ts", "d", "together")).unionByName(cutoff)
     up = both.filter("ts > ss or (ts = ss and t < s)").groupBy("s").agg(F.max(F.struct(F.col("together").isNotNull().alias("g"), (-F.col("d")).alias("nd"), "ts", "t")).alias("m")).select("s", F.col("m.t").alias("t"))
     up = cut(up)
