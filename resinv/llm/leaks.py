@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from resinv.operators.lineage import cut
+
 _PAD = np.uint64(0x51ED270B7A14C3D5)
 
 
@@ -130,7 +132,7 @@ def _edits(a: np.ndarray, b: np.ndarray, limit: int) -> int:
 
 @F.pandas_udf(T.IntegerType())
 def _edit_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_edits(x, y, len(x)) for x, y in zip(a, b)], dtype="int32")
+    return pd.Series([0 if np.array_equal(x, y) else _edits(x, y, len(x)) for x, y in zip(a, b)], dtype="int32")
 
 
 def leaked_windows(
@@ -155,6 +157,7 @@ def leaked_windows(
     repetitions = repetitions_for(window, places, max_edits, recall)
     item_keys = _window_keys(items, item_id, item_text, window, places, repetitions, None)
     distinct = item_keys.select("key").distinct()
+    distinct = cut(distinct)
     bounded = distinct.limit(max_filter_keys + 1).count() <= max_filter_keys
     known = None
     if bounded:
@@ -164,8 +167,11 @@ def leaked_windows(
     doc_keys = _window_keys(corpus, corpus_id, corpus_text, window, places, repetitions, known)
     i = item_keys.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "key", F.col("words").alias("iw"))
     c = doc_keys.select(F.col("id").alias("doc_id"), F.col("pos").alias("doc_pos"), "key", F.col("words").alias("dw"))
-    pairs = c.join(i, "key")
+    small = distinct.limit(100_001).count() <= 100_000  # windows of items, 100 bytes each
+    pairs = c.join(F.broadcast(i) if small else i.hint("merge"), "key")
     if max_edits == 0:
         return pairs.filter("iw = dw").select("item_id", "item_pos", "doc_id", "doc_pos", F.lit(0).alias("edits")).distinct()
+    # every word of the one window that the other lacks costs an edit: most pairs end here, in the JVM
+    pairs = pairs.filter(F.size(F.array_except("iw", "dw")) <= max_edits)
     once = pairs.groupBy("item_id", "item_pos", "doc_id", "doc_pos").agg(F.first("iw").alias("iw"), F.first("dw").alias("dw"))
     return once.withColumn("edits", _edit_distance("iw", "dw")).filter(F.col("edits") <= max_edits).select("item_id", "item_pos", "doc_id", "doc_pos", "edits")
