@@ -134,9 +134,10 @@ def classes_of_stem(readings: list[tuple[tuple[str, ...], str, str, int]]) -> li
         tries = [list(subject)] if kind or len(subject) < 3 else [list(subject), list(subject[:-1])]  # the last word may be a kind beyond recognition
         found = next((c for t in tries for c, centre in enumerate(centres) if _subject_alike(t, centre["subject"])), None)
         if found is None:
-            centres.append({"subject": list(subject), "kinds": set(), "codes": set(), "forms": set()})
+            centres.append({"subject": list(subject), "kinds": set(), "codes": set(), "forms": set(), "strong": set()})
             found = len(centres) - 1
         centres[found]["forms"].update(initial_forms(subject, kind))
+        centres[found]["strong"].update(f for f in initial_forms(subject, kind) if len(subject) > 1 and len(f) > 1 and f[:2] == subject[-2][:1] + subject[-1][:1])
         add(i, found)
     for i in order:
         subject, kind, code, _ = readings[i]
@@ -150,14 +151,14 @@ def classes_of_stem(readings: list[tuple[tuple[str, ...], str, str, int]]) -> li
             fits = [
                 c
                 for c, centre in enumerate(centres)
-                if any((code.startswith(f) and code[len(f) :] in ({"db", "kb"} | kinds_first)) or (f.startswith(code) and f[len(code) :] in ({"db", "kb"} | kinds_first)) for f in centre["forms"] | centre["codes"] if len(f) > 1 or len(code) <= 2)
+                if any((code.startswith(f) and code[len(f) :] in ({"db", "kb"} | kinds_first)) or (f.startswith(code) and f[len(code) :] in ({"db", "kb"} | kinds_first)) for f in centre["strong"] | centre["codes"] if len(f) > 1 and len(code) > 1)
             ]
         if not fits and len(code) >= 3:  # one letter too many
-            fits = [c for c, centre in enumerate(centres) if any(len(f) == len(code) - 1 >= 2 and osa(code, f, 1) == 1 for f in centre["forms"] | centre["codes"])]
+            fits = [c for c, centre in enumerate(centres) if any(len(f) == len(code) - 1 >= 2 and osa(code, f, 1) == 1 for f in centre["strong"] | centre["codes"])]
         if len(fits) == 1:
             add(i, fits[0])
         elif not fits and code not in ("d", "k", "b", "bd", "bk"):  # a suffix cut short is no initial
-            centres.append({"subject": [], "kinds": set(), "codes": set(), "forms": set()})
+            centres.append({"subject": [], "kinds": set(), "codes": set(), "forms": set(), "strong": set()})
             add(i, len(centres) - 1)
     for i in order:
         if label[i] >= 0:
