@@ -109,3 +109,24 @@ def lookup_default(df: DataFrame, table: DataFrame, key: str, defaults: dict[str
     for name, value in defaults.items():
         out = out.withColumn(name, F.coalesce(c(name), F.lit(value)))
     return out
+
+
+def prefixed(df: DataFrame, key: str, prefix: str) -> DataFrame:
+    """All columns but the key with a prefix, so that a join brings no clashing names."""
+    return df.select(F.col(key), *[F.col(n).alias(f"{prefix}{n}") for n in df.columns if n != key])
+
+
+def priority_lookup(df: DataFrame, tables: list[DataFrame], key: str, columns: list[str]) -> DataFrame:
+    """Left join to the first of several tables that knows a key; within a table the smallest row decides."""
+    ranked = None
+    for rank, t in enumerate(tables):
+        one = t.select(key, *columns).withColumn("_rank", F.lit(rank))
+        ranked = one if ranked is None else ranked.unionByName(one)
+    return df.join(keep_first(ranked, [key], ["_rank", *columns]).drop("_rank"), key, "left")
+
+
+def column_check(df: DataFrame, reference: list[str]) -> dict[str, list[str]]:
+    """Columns that are missing, not known, or out of the reference's order."""
+    known = [n for n in df.columns if n in reference]
+    wanted = [n for n in reference if n in df.columns]
+    return {"missing": [n for n in reference if n not in df.columns], "unknown": [n for n in df.columns if n not in reference], "moved": [a for a, b in zip(known, wanted) if a != b]}

@@ -376,3 +376,23 @@ def validate_mapping(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT status AS value, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 6) AS percent FROM union_papers_with_primary_resources GROUP BY status")
 def status_counts(spark: SparkSession, d: str) -> DataFrame:
     return R.value_counts(table(spark, d, "union_papers_with_primary_resources"), "status")
+
+
+@query(f"WITH {S.SCANS} SELECT u.pmid, u.status, s.url_scanner_score AS scan_url_scanner_score, s.resource_url AS scan_resource_url FROM union_papers_with_primary_resources u LEFT JOIN scans s USING (pmid)")
+def scan_prefixed(spark: SparkSession, d: str) -> DataFrame:
+    """Scan columns joined under a prefix."""
+    u = table(spark, d, "union_papers_with_primary_resources").select("pmid", "status")
+    return u.join(R.prefixed(scans(spark, d, "url_scanner_score", "resource_url"), "pmid", "scan_"), "pmid", "left")
+
+
+@query(
+    f"""WITH {S.PAPERS}, l AS (SELECT pmid, title, 0 AS r FROM union_papers_with_primary_resources WHERE in_linguistic UNION ALL SELECT id, title, 1 FROM papers),
+k AS (SELECT pmid, title FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY r, title) AS rn FROM l) WHERE rn = 1)
+SELECT s.pmid, k.title FROM (SELECT DISTINCT pmid FROM papers_with_scanner_scores) s LEFT JOIN k USING (pmid)"""
+)
+def lookup_priority(spark: SparkSession, d: str) -> DataFrame:
+    """Titles of scanned papers, from the linguistic set where it has them, else from the harvest."""
+    s = table(spark, d, "papers_with_scanner_scores").select("pmid").distinct()
+    a = table(spark, d, "union_papers_with_primary_resources").filter("in_linguistic").select("pmid", "title")
+    b = papers(spark, d, "title").withColumnRenamed("id", "pmid")
+    return R.priority_lookup(s, [a, b], "pmid", ["title"])

@@ -296,3 +296,12 @@ def likelihood_counts(spark: SparkSession, d: str) -> DataFrame:
     from resinv.plans.views import scans
 
     return scans(spark, d, "url_scanner_score").groupBy(ux.likelihood(F.col("url_scanner_score")).alias("likelihood")).agg(F.count("*").alias("n"))
+
+
+@query()
+def url_similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Similar URLs of one registered name, with their similarity."""
+    from resinv.operators.clusters import similar_urls
+
+    rows = _inventory(spark, d).filter(~fx.is_blank("extracted_url") & F.col("extracted_url").rlike("^[a-zA-Z]+://[^/]"))
+    return similar_urls(rows, "extracted_url", 0.5).select("a", "b", F.round("similarity", 6).alias("similarity"))

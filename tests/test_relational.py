@@ -91,3 +91,21 @@ def test_sampling_and_split_are_seeded(spark):
     assert sample_n(df, 10, 1).collect() == sample_n(df.repartition(7), 10, 1).collect()
     parts = {r.part: r.n for r in split(df, "id", {"a": 0.5, "b": 0.5}).groupBy("part").agg(F.count("*").alias("n")).collect()}
     assert sum(parts.values()) == 1000 and abs(parts["a"] - 500) < 80
+
+
+def test_prefix_priority_and_column_check(spark, rows):
+    a, b = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(1, "y"), (2, "z"), (2, "w")], "k int, v string")
+    assert R.prefixed(a, "k", "p_").columns == ["k", "p_v"]
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    assert rows(R.priority_lookup(keys, [a, b], "k", ["v"])) == [(1, "x"), (2, "w"), (3, None)]
+    assert R.column_check(a, ["v", "k", "q"]) == {"missing": ["q"], "unknown": [], "moved": ["k", "v"]}
+
+
+def test_profiles_from_yaml(tmp_path):
+    from resinv.plans.profiles import load_profiles
+
+    p = tmp_path / "c.yaml"
+    p.write_text("filtering_profiles:\n  balanced:\n    setfit_threshold: 0.7\n  own:\n    db_keywords: [x]\ndefault_profile: own\n")
+    profiles, default = load_profiles(str(p))
+    assert default == "own" and profiles["balanced"]["setfit"] == 0.7 and profiles["own"]["keywords"] == ["x"] and profiles["own"]["bypass"] == 5.0
+    assert load_profiles(None)[1] == "balanced"
