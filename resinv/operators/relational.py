@@ -40,7 +40,7 @@ def full_provenance(a: DataFrame, b: DataFrame, key: str, names: tuple[str, str]
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """``(value, n, percent)`` of a column; null is a value of its own."""
     n = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    return n.crossJoin(F.broadcast(df.agg(F.count("*").alias("total")))).select("value", "n", F.round(100.0 * F.col("n") / F.col("total"), 6).alias("percent"))  # one row
+    return n.select("value", "n", F.round(100.0 * F.col("n") / df.agg(F.count("*")).scalar(), 6).alias("percent"))
 
 
 def ordered_join(value: Column, order: Column, separator: str = ", ") -> Column:

@@ -228,8 +228,8 @@ SELECT id, coalesce(citedByCount, 0) AS cited, bound, coalesce(citedByCount, 0)
 def high_cited_quantile(spark: SparkSession, d: str) -> DataFrame:
     """Papers cited more than the upper quartile of all papers."""
     p = papers(spark, d, "citedByCount").select("id", F.coalesce("citedByCount", F.lit(0)).alias("cited"))
-    bound = p.agg(F.percentile("cited", 0.75).alias("bound"))  # one row
-    return p.crossJoin(F.broadcast(bound)).withColumn("is_highly_cited", F.col("cited") > F.col("bound"))
+    bound = p.agg(F.percentile("cited", 0.75)).scalar()
+    return p.withColumn("bound", bound).withColumn("is_highly_cited", F.col("cited") > F.col("bound"))
 
 
 @query(
