@@ -165,15 +165,15 @@ def map_to_list(
 
     postings = listed.withColumn("gram", F.explode(gram_udf("entry")))
     df = postings.groupBy("gram").agg(F.countDistinct("eid").alias("df"))
-    total = listed.agg(F.countDistinct("eid").alias("n"))
-    idf = df.crossJoin(F.broadcast(total)).select("gram", F.log1p(F.col("n") / F.col("df")).alias("w"))  # one row
+    total = listed.select("eid").distinct().count()  # of the list
+    idf = df.select("gram", F.log1p(F.lit(total) / F.col("df")).alias("w"))
     weighted = postings.join(idf, "gram")
     norms = weighted.groupBy("entry").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("entry_norm"))
     index = weighted.join(norms, "entry").select("gram", "eid", "entry", "w", "entry_norm")
 
     value_grams = read.select("reading").distinct().withColumn("gram", F.explode(gram_udf("reading")))
-    unseen = F.log1p(F.col("n").cast("double"))
-    vw = value_grams.join(idf, "gram", "left").crossJoin(F.broadcast(total)).withColumn("w", F.coalesce("w", unseen))
+    unseen = math.log1p(total)
+    vw = value_grams.join(idf, "gram", "left").withColumn("w", F.coalesce("w", F.lit(unseen)))
     whole = Window.partitionBy("reading")
     ordered = whole.orderBy(F.desc("w"), "gram")
     vw = vw.select("reading", "gram", "w", F.sqrt(F.sum(F.col("w") * F.col("w")).over(whole)).alias("norm"), F.sum(F.col("w") * F.col("w")).over(ordered).alias("upto"))
@@ -181,15 +181,15 @@ def map_to_list(
     prefix = vw.filter((F.col("norm") * F.col("norm") - F.col("upto") + F.col("w") * F.col("w")) >= (retrieval * F.col("norm")) ** 2)
     candidates = prefix.join(index.select("gram", "eid", "entry"), "gram").select("reading", "eid", "entry").distinct()
 
-    word_weights = listed.select("eid", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).groupBy("word").agg(F.countDistinct("eid").alias("df")).crossJoin(F.broadcast(total)).select("word", F.log1p(F.col("n") / F.col("df")).alias("w"))
-    entry_words = listed.select("eid", "entry", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).join(word_weights, "word").groupBy("eid", "entry").agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("weights")).crossJoin(F.broadcast(total))
+    word_weights = listed.select("eid", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).groupBy("word").agg(F.countDistinct("eid").alias("df")).select("word", F.log1p(F.lit(total) / F.col("df")).alias("w"))
+    entry_words = listed.select("eid", "entry", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).join(word_weights, "word").groupBy("eid", "entry").agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("weights"))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            s = [aligned_cosine(r, e, dict(w), math.log1p(n)) for r, e, w, n in zip(pdf.reading, pdf.entry, pdf.weights, pdf.n)]
+            s = [aligned_cosine(r, e, dict(w), unseen) for r, e, w in zip(pdf.reading, pdf.entry, pdf.weights)]
             yield pd.DataFrame({"reading": pdf.reading, "eid": pdf.eid, "score": s})
 
-    scored = candidates.join(entry_words.select("eid", "weights", "n"), "eid").mapInPandas(score, "reading string, eid long, score double")
+    scored = candidates.join(entry_words.select("eid", "weights"), "eid").mapInPandas(score, "reading string, eid long, score double")
     by_name = read.join(scored, "reading").select("value", "eid", "score")
     best = by_code.unionByName(by_name).groupBy("value", "eid").agg(F.max("score").alias("score"))
     ranked = best.groupBy("value").agg(F.max(F.struct("score", (-F.col("eid")).alias("neg"))).alias("top"), F.slice(F.sort_array(F.collect_list("score"), False), 1, 2).alias("two"))

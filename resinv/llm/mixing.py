@@ -125,10 +125,10 @@ def mix(
     mixture = uses.groupBy("id", "source", "shard", "tokens").agg(F.count("*").cast("int").alias("times"))
     used = mixture.groupBy("source").agg(F.sum(F.col("tokens") * F.col("times")).alias("used"))
     most = mixture.groupBy("source", "id").agg(F.sum("times").alias("t")).groupBy("source").agg(F.max("t").cast("int").alias("repeats"))
-    all_used = used.agg(F.sum("used").alias("total"))  # one row
-    report = wanted.join(used, "source", "left").join(most, "source", "left").join(F.broadcast(plan_df.select("source", "stock")), "source", "left").crossJoin(F.broadcast(all_used))
+    all_used = used.agg(F.sum("used")).scalar()
+    report = wanted.join(used, "source", "left").join(most, "source", "left").join(F.broadcast(plan_df.select("source", "stock")), "source", "left")
     report = report.select(
         "source", F.col("share").alias("target_share"), F.coalesce("stock", F.lit(0)).cast("long").alias("stock"), F.coalesce("used", F.lit(0)).cast("long").alias("used"),
-        F.coalesce(F.col("used") / F.col("total"), F.lit(0.0)).alias("share"), F.coalesce("repeats", F.lit(0)).alias("repeats"),
+        F.coalesce(F.col("used") / all_used, F.lit(0.0)).alias("share"), F.coalesce("repeats", F.lit(0)).alias("repeats"),
     )
     return mixture.select("id", "source", "shard", "times", "tokens"), report
