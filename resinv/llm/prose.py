@@ -50,12 +50,24 @@ def _solid(text: str) -> int:
 def units(text: str) -> list[tuple[str, str]]:
     """The text in units of layout: (unit, structure); wrapped lines are joined, structure '' is running text."""
     lines = [x for x in re.split(r"[\r\n\x0b\x0c  ]+", text) if x.strip()]
-    lines = [p for x in lines for p in (_TEASER.split(x) if len(_TEASER.findall(x)) >= 3 and "\t" not in x else [x]) if p.strip()]
+    cut: list[bool] = []
+    pieces: list[str] = []
+    for x in lines:  # teasers: beginnings of sentences strung together
+        n = len(_TEASER.findall(x))
+        teased = n >= 3 and "\t" not in x and len(x.split()) < 9 * n
+        for p in _TEASER.split(x) if teased else [x]:
+            if p.strip():
+                pieces.append(p)
+                cut.append(teased)
+    lines = pieces
     letters = sum(c.isalpha() for c in text)
     upper = sum(c.isupper() for c in text) > 0.6 * max(1, letters)
     width = max((len(x.rstrip()) for x in lines), default=0)
     counts = [[x.count(c) for c in _DELIMITERS] for x in lines]
     labels = sum(bool(_LABEL.match(x)) and not _ENDED.search(x) for x in lines) >= 3
+    full = lambda a, b: len(a.rstrip()) + 1 + len(b.split(maxsplit=1)[0]) > width and len(a.split()) >= 3
+    open_ends = [full(a, b) for a, b in zip(lines, lines[1:]) if not _ENDED.search(a)]
+    wraps = 20 <= width <= 130 and sum(open_ends) >= 0.7 * len(open_ends)
     out: list[list[str]] = []
     before = None
     for i, line in enumerate(lines):
@@ -70,9 +82,8 @@ def units(text: str) -> list[tuple[str, str]]:
         elif labels and _LABEL.match(line):
             structure = "label_rows"
         else:
-            structure = ""
-        first = s.split(maxsplit=1)[0]
-        wrapped = before is not None and 20 <= width <= 130 and len(before) + 1 + len(first) > width and len(before.split()) >= 3
+            structure = "fragments" if cut[i] else ""
+        wrapped = before is not None and wraps and full(before, line)
         follows = s[0].islower() or (upper and before is not None and before == before.upper()) or s[0].isdigit() or s[0] in '("'
         if out and not structure and not _ENDED.search(out[-1][0]) and ((out[-1][1] == "" and (follows or wrapped)) or (out[-1][1] == "list_items" and wrapped)):
             out[-1][0] += " " + s
@@ -94,9 +105,10 @@ def judge(unit: str, structure: str, words: set[str], pairs: set[tuple[str, str]
     if coded > 0.5 * len(w) and (len(w) - coded < 5 or coded > 0.85 * len(w)):
         return "codes"
     ended = bool(_ENDED.search(unit))
-    if structure and not (ended and len(w) >= 8):
+    sentences = bool(_INNER_END.search(unit))
+    if structure and not (ended and len(w) >= 8) and not (sentences and len(w) >= 15):
         return structure
-    if not ended and len(w) < 15 and not _INNER_END.search(unit) and (len(w) < 6 or not unit[0].islower()):
+    if not ended and len(w) < 15 and not sentences and (len(w) < 6 or not unit[0].islower()):
         return "fragments"
     return ""
 
@@ -116,6 +128,7 @@ def statistics(text: str | None, words: set[str], pairs: set[tuple[str, str]], r
         n = _solid(unit)
         total += n
         shares[judge(unit, structure, words, pairs)] += n
+    run = min(run, max(5, len(low) // 20))  # short texts repeat shorter runs
     runs = Counter(tuple(low[i : i + run]) for i in range(len(low) - run + 1))
     repeats = sum(c for c in runs.values() if c > 1) / max(1, sum(runs.values()))
     out.update({k: shares[k] / max(1, total) for k in SHARES})
