@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from resinv.llm.text import fold, osa, unaccent
+from resinv.operators.lineage import cut
 
 # Words that carry no meaning of their own in the names of organisations and countries, and
 # styles that free-entered values put around a name.
@@ -189,7 +190,10 @@ def map_to_list(
             s = [aligned_cosine(r, e, dict(w), unseen) for r, e, w in zip(pdf.reading, pdf.entry, pdf.weights)]
             yield pd.DataFrame({"reading": pdf.reading, "eid": pdf.eid, "score": s})
 
-    scored = candidates.join(entry_words.select("eid", "weights"), "eid").mapInPandas(score, "reading string, eid long, score double")
+    # pairs are small but dear to score: spread them over all tasks, which their size in bytes would not
+    tasks = max(1, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = cut(candidates.join(entry_words.select("eid", "weights"), "eid").repartition(tasks, "reading"))
+    scored = spread.mapInPandas(score, "reading string, eid long, score double")
     by_name = read.join(scored, "reading").select("value", "eid", "score")
     best = by_code.unionByName(by_name).groupBy("value", "eid").agg(F.max("score").alias("score"))
     ranked = best.groupBy("value").agg(F.max(F.struct("score", (-F.col("eid")).alias("neg"))).alias("top"), F.slice(F.sort_array(F.collect_list("score"), False), 1, 2).alias("two"))
