@@ -5,7 +5,8 @@ neighbouring words occurs and keeps the *common* ones - those in at least a give
 documents, so their number is bounded by the mean length of a document over that share.  The second computes
 the statistics of every document: counts, ratios and, for each way in which text is not prose, the share of
 its non-blank characters written in that way.  Each statistic is summarised per language in a mergeable KLL
-quantile sketch; values become percentiles and robust z-scores, and the tails are flagged.
+quantile sketch; values become percentiles and robust z-scores.  A document is flagged by its own share alone,
+not by its place in the language, since a language may be junk for the most part.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ _DELIMITERS = "|\t;,"
 
 #: Statistics of which only large values are unusual, as shares of a document's non-blank characters.
 SHARES = ("alien_words", "alien_order", "codes", "list_items", "table_rows", "label_rows", "fragments", "repeats")
+#: Documents a language needs before words and their order can be held against its texts.
+LEARNT = 10
 STATISTICS = ("words", "mean_word", "symbol_ratio", "digit_ratio", "ended_lines", "common_words", *SHARES, "not_prose")
 
 
@@ -93,13 +96,13 @@ def units(text: str) -> list[tuple[str, str]]:
     return [(a, b) for a, b in out]
 
 
-def judge(unit: str, structure: str, words: set[str], pairs: set[tuple[str, str]]) -> str:
-    """In which of the SHARES ways the unit is not prose; '' if it is."""
+def judge(unit: str, structure: str, words: set[str] | None, pairs: set[tuple[str, str]]) -> str:
+    """In which of the SHARES ways the unit is not prose; '' if it is.  Without words (None) only its form counts."""
     w = _shapes(unit)
     plain = [x for x in w if x not in ("#", "g#")]
-    if not w or sum(x in words for x in plain) < 0.6 * len(plain):
+    if not w or (words is not None and sum(x in words for x in plain) < 0.6 * len(plain)):
         return "alien_words"
-    if len(w) >= 4 and sum(p in pairs for p in zip(w, w[1:])) < 0.45 * (len(w) - 1):
+    if words is not None and len(w) >= 4 and sum(p in pairs for p in zip(w, w[1:])) < 0.45 * (len(w) - 1):
         return "alien_order"
     coded = len(w) - len(plain)
     if coded > 0.5 * len(w) and (len(w) - coded < 5 or coded > 0.85 * len(w)):
@@ -113,7 +116,7 @@ def judge(unit: str, structure: str, words: set[str], pairs: set[tuple[str, str]
     return ""
 
 
-def statistics(text: str | None, words: set[str], pairs: set[tuple[str, str]], run: int = 8) -> dict[str, float]:
+def statistics(text: str | None, words: set[str] | None, pairs: set[tuple[str, str]], run: int = 8) -> dict[str, float]:
     """All STATISTICS of one text; those of an empty or null text are 0."""
     text = text or ""
     low = _WORD.findall(text.lower())
@@ -139,7 +142,7 @@ def statistics(text: str | None, words: set[str], pairs: set[tuple[str, str]], r
     out["symbol_ratio"] = sum(not c.isalnum() and not c.isspace() for c in text) / solid
     out["digit_ratio"] = sum(c.isdigit() for c in text) / solid
     out["ended_lines"] = sum(bool(_ENDED.search(x)) for x in lines) / max(1, len(lines))
-    out["common_words"] = sum(shape(x) in words for x in low) / max(1, len(low))
+    out["common_words"] = sum(shape(x) in words for x in low) / max(1, len(low)) if words is not None else 0.0
     return out
 
 
@@ -176,10 +179,11 @@ def quality(
     max_languages: int = 500,
 ) -> DataFrame:
     """One row per document row: id, lang, all STATISTICS, for each its percentile and robust z within the
-    language, and ``prose`` (false in the tail of ``not_prose`` beyond one half).
+    language, and ``prose`` (false where ``not_prose`` is over one half, however many such texts the language has).
 
     Documents without a language form a group of their own.  Null and empty texts have statistics of 0 and
-    are prose (nothing speaks against them); a null id keeps its row; repeated rows stay repeated; an empty
+    are prose (nothing speaks against them); in a language of fewer than LEARNT documents words and their order
+    are not judged, so ``alien_order`` is 0 there and ``alien_words`` the share without any word; a null id keeps its row; repeated rows stay repeated; an empty
     table gives an empty result.  Texts are read whole and all documents are counted.
     """
     docs = documents.select(F.col(id_col).alias("id"), F.coalesce(F.nullif(F.trim(F.lower(lang_col)), F.lit("")), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
@@ -193,13 +197,15 @@ def quality(
     )
     tokens = docs.select("lang", shaped.alias("t"))
     words, pairs = _common(tokens, sizes, word_share, pair_share, term_limit)
+    # texts without a language are in any of the languages
+    learnt = {k for k, n in sizes.items() if (sum(sizes.values()) if k == "und" else n) >= LEARNT}
     context = documents.sparkSession.sparkContext
     shared = context.broadcast((words, pairs))  # bounded: checked against term_limit
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w, p = shared.value
         for pdf in batches:
-            rows = pd.DataFrame([statistics(t, w, p) for t in pdf["text"]], columns=list(STATISTICS))
+            rows = pd.DataFrame([statistics(t, w if k in learnt else None, p) for t, k in zip(pdf["text"], pdf["lang"])], columns=list(STATISTICS))
             yield pd.concat([pdf[["id", "lang"]].reset_index(drop=True), rows], axis=1)
 
     kind = docs.schema["id"].dataType.simpleString()
@@ -217,4 +223,4 @@ def quality(
         columns.append((F.size(F.filter(q, _at_most(s))) / 100).alias(f"{s}_percentile"))
         columns.append(((F.col(s) - q[49]) / spread).alias(f"{s}_z"))
     out = scored.select(*columns)
-    return out.withColumn("prose", ~((F.col("not_prose") > 0.5) & (F.col("not_prose_z") >= 3)))
+    return out.withColumn("prose", F.col("not_prose") <= 0.5)

@@ -237,6 +237,15 @@ def test_quality_tells_prose_from_the_rest(spark):
     assert quality(df.limit(0)).count() == 0
 
 
+def test_junk_is_flagged_where_it_is_frequent_and_in_small_languages(spark):
+    good, bad = corpus()
+    lists = [(5000 + k, "\n".join(f"- {w} {w[0].upper()}{k}{i}" for i, w in enumerate(["genes", "maps", "cells"] * 9))) for k in range(200)]
+    rows = [(i, t, "en") for i, t in good + bad + lists]  # two fifths of the language
+    rows += [(6000, lists[0][1], "fi"), (6001, "Tietokanta on avoin kaikille. Siihen kuuluu monta kuvaa, ja haku on helppo.", "fi")]
+    got = {r.doc_id for r in quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).filter("not prose").collect()}
+    assert got == {i for i, _ in bad + lists} | {6000}
+
+
 def test_statistics_of_long_and_odd_texts():
     s = statistics(PROSE * 3000, set(words(PROSE)), set(zip(words(PROSE * 2), words(PROSE * 2)[1:])))
     assert s["repeats"] > 0.9 and s["words"] == 3000 * len(words(PROSE))
