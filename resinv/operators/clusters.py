@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resinv.functions.urls import authority, normal_aggressive, normal_strict, sequence_ratio, url_components, url_similarity, with_scheme
 from resinv.operators.components import components
+from resinv.operators.lineage import cut
 
 
 def host_clusters(df: DataFrame, order: str, url: str) -> DataFrame:
@@ -21,24 +22,55 @@ def host_clusters(df: DataFrame, order: str, url: str) -> DataFrame:
     return h.join(per, "_h").select(order, "url", "canonical", "members")
 
 
+def _parts(df: DataFrame, url: str) -> DataFrame:
+    """Every distinct URL with its strict and aggressive form, its components and its block.
+
+    The block is the domain without its ending, so hosts of one name under several endings meet.
+    """
+    distinct = df.select(F.col(url).alias("u")).filter("u is not null").distinct()
+    parts = F.struct(*[v.alias(k) for k, v in url_components("u").items()])
+    return distinct.select("u", normal_strict("u").alias("n"), normal_aggressive("u").alias("g"), parts.alias("p")).withColumn("block", F.col("p.domain"))
+
+
+def _rated(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
+    """``(a, b, similarity)`` of the pairs of a block that meet the condition; a is the smaller URL."""
+    a, b = (x.select("block", *[F.col(c).alias(f"{c}{k}") for c in ("u", "n", "g", "p")]) for x, k in ((left, "a"), (right, "b")))
+    pairs = a.join(b.hint("merge"), "block").filter(condition)
+    da, db = ({k: F.col(f"p{x}.{k}") for k in ("domain", "tld", "path", "full_domain", "subdomain")} for x in "ab")
+    # the ratio depends on the order of its texts: in a fixed order, URLs of the same parts get the same ratio
+    ratios = [sequence_ratio(F.least(da[k], db[k]), F.greatest(da[k], db[k])).alias(f"_{k}") for k in ("domain", "path", "subdomain")]
+    equal = (F.col("ga") == F.col("gb")) | ((F.col("na") == F.col("nb")) & (F.col("na") != ""))
+    score = url_similarity(da, db, equal, F.col("_domain"), F.col("_path"), F.col("_subdomain"))
+    return pairs.select("*", *ratios).select(F.col("ua").alias("a"), F.col("ub").alias("b"), score.alias("similarity"))
+
+
 def similar_urls(df: DataFrame, url: str, threshold: float) -> DataFrame:
-    """``(a, b, similarity)`` of distinct URLs that share a registered name, at or above the threshold.
+    """``(a, b, similarity)`` of all pairs of distinct URLs that share a registered name, at or above the threshold.
+
+    a is the smaller URL.  Every pair of a name is compared, within a host and across hosts, so the cost, as the
+    result at a low threshold, is the square of the URLs a name has.
+    """
+    parts = _parts(df, url)
+    return _rated(parts, parts, "ua < ub").filter(F.col("similarity") >= threshold)
+
+
+def _links(df: DataFrame, url: str, threshold: float) -> DataFrame:
+    """``(a, b)``: links that connect the same URLs as all pairs of ``similar_urls`` do.
 
-    Only one URL per strict normal form is compared (the others are alike by definition); the block is the
-    domain without its ending, so hosts of one name under several endings meet.
+    URLs of one strict form are linked to the first of them.  URLs of one host and path are rated alike against
+    any other, so one of them stands for all and is linked to the others.  Up to 0.9 any two URLs of a host are similar: they are linked to its first, and only pairs across
+    hosts are compared.
     """
-    distinct = df.select(F.col(url).alias("u")).filter("u is not null").groupBy(normal_strict("u").alias("n")).agg(F.min("u").alias("u"))
-    parts = distinct.select("u", normal_aggressive("u").alias("g"), F.struct(*[v.alias(k) for k, v in url_components("u").items()]).alias("p")).withColumn("block", F.col("p.domain"))
-    # per host one URL a path: pairs within a host need no comparison, they are linked along the host
-    a, b = parts.select("block", F.col("u").alias("a"), F.col("g").alias("ga"), F.col("p").alias("pa")), parts.select("block", F.col("u").alias("b"), F.col("g").alias("gb"), F.col("p").alias("pb"))
-    heads = Window.partitionBy("pa.full_domain").orderBy("a")
-    first = a.withColumn("_rn", F.row_number().over(heads)).filter("_rn = 1").drop("_rn")
-    pairs = first.join(b, "block").filter("a <> b and (pa.full_domain = pb.full_domain or a < b)")
-    da, db = {k: F.col(f"pa.{k}") for k in ("domain", "tld", "path", "full_domain", "subdomain")}, {k: F.col(f"pb.{k}") for k in ("domain", "tld", "path", "full_domain", "subdomain")}
-    ratios = [sequence_ratio(da[k], db[k]) for k in ("domain", "path", "subdomain")]
-    rated = pairs.select("a", "b", "ga", "gb", "pa", "pb", *[r.alias(n) for r, n in zip(ratios, ("ds", "ps", "ss"))])
-    score = url_similarity(da, db, F.col("ga") == F.col("gb"), F.col("ds"), F.col("ps"), F.col("ss"))
-    return rated.select("a", "b", score.alias("similarity")).filter(F.col("similarity") >= threshold)
+    parts = _parts(df, url).withColumns({"h": F.col("p.full_domain"), "path": F.col("p.path")})
+    strict = parts.join(parts.groupBy("n").agg(F.min("u").alias("a")), "n").select("a", F.col("u").alias("b"))
+    alike = cut(parts.groupBy("h", "path", "g").agg(F.min(F.struct("u", "n", "p", "block")).alias("x")).select("h", "path", "g", "x.*"))
+    same = parts.join(alike.select("h", "path", "g", F.col("u").alias("a")), ["h", "path", "g"]).select("a", F.col("u").alias("b"))
+    links = strict.unionByName(same)
+    if threshold > 0.9:
+        return links.unionByName(_rated(alike, alike, "ua < ub").filter(F.col("similarity") >= threshold).select("a", "b"))
+    star = alike.filter("h <> ''").join(alike.groupBy("h").agg(F.min("u").alias("a")), "h").select("a", F.col("u").alias("b"))
+    across = _rated(alike, alike, "ua < ub and pa.full_domain <> pb.full_domain").filter(F.col("similarity") >= threshold)
+    return links.unionByName(star).unionByName(across.select("a", "b"))
 
 
 def cross_host_clusters(df: DataFrame, url: str, threshold: float = 0.85) -> DataFrame:
@@ -47,9 +79,5 @@ def cross_host_clusters(df: DataFrame, url: str, threshold: float = 0.85) -> Dat
     Null URLs are left out; URLs without a partner are their own cluster.
     """
     distinct = df.select(F.col(url).alias("url")).filter("url is not null").distinct()
-    forms = distinct.withColumn("n", normal_strict("url"))
-    head = forms.groupBy("n").agg(F.min("url").alias("head"))
-    links = similar_urls(df, url, threshold).select("a", "b")
-    found = components(links)
-    out = forms.join(head, "n").join(found, F.col("head") == found["node"], "left")
-    return out.select("url", F.coalesce("component", "head").alias("canonical"))
+    found = components(_links(df, url, threshold))
+    return distinct.join(found, distinct["url"] == found["node"], "left").select("url", F.coalesce("component", "url").alias("canonical"))

@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from resinv.functions.urls import normal_aggressive, normal_strict, sequence_ratio, url_components, url_similarity
 from resinv.operators import relational as R
-from resinv.operators.clusters import cross_host_clusters, host_clusters
+from resinv.operators.clusters import cross_host_clusters, host_clusters, similar_urls
 from resinv.operators.components import components
 from resinv.operators.matching import fuzzy_match, sides
 from resinv.operators.merge import merge_resources
@@ -65,6 +68,28 @@ def test_cross_host_clusters(spark):
     assert len(got) == 4
 
 
+def test_every_pair_of_a_name_is_compared(spark, rows):
+    r = random.Random(3)
+    urls = {f"http://{h}.foo.{e}/{r.choice(['x', 'y1', 'data/set', 'data/sets', '1z9', 'q'])}{r.choice(['', '/', '?i=1', '?i=2'])}" for h in ("a", "b", "www", "lab.one", "lab.two") for e in ("org", "net") for _ in range(5)}
+    urls |= {"http://a.bar.org/1", "http://a.bar.org/x", "http://b.bar.org/1z9", "http://b.bar.org/x"}
+    df = spark.createDataFrame([(u,) for u in sorted(urls)] + [(None,)], "u string")
+    pairs = df.select(F.col("u").alias("a")).join(df.select(F.col("u").alias("b")), F.expr("a < b"))
+    p, q = url_components("a"), url_components("b")
+    ratio = {k: sequence_ratio(F.least(p[k], q[k]), F.greatest(p[k], q[k])) for k in ("domain", "path", "subdomain")}
+    equal = (normal_aggressive("a") == normal_aggressive("b")) | (normal_strict("a") == normal_strict("b"))
+    brute = pairs.filter(p["domain"] == q["domain"]).select("a", "b", url_similarity(p, q, equal, *ratio.values()).alias("s")).collect()
+    for t in (0.5, 0.85, 0.96):
+        assert rows(similar_urls(df, "u", t)) == sorted(((x.a, x.b, x.s) for x in brute if x.s >= t), key=str)
+        first = {u: u for u in urls}
+        for _ in urls:
+            for x in brute:
+                if x.s >= t:
+                    first[x.a] = first[x.b] = min(first[x.a], first[x.b])
+        got = {x.url: x.canonical for x in cross_host_clusters(df, "u", t).collect()}
+        assert got == first
+    assert {got["http://a.bar.org/x"], got["http://b.bar.org/x"]} == {"http://a.bar.org/x"}
+
+
 MERGE = "pmid string, title string, abstract string, in_linguistic boolean, in_setfit boolean, ling_score double, setfit_confidence double, primary_entity_long string, primary_entity_short string, status string, resource_url string, primary_score double, ner_confidence double, all_long string, all_short string, host string"
 
 
