@@ -1,8 +1,8 @@
 """Per-document text quality statistics, and the documents that are not natural prose.
 
-Two passes over the corpus.  The first counts, per language, in how many documents each word and each pair of
-neighbouring words occurs and keeps the *common* ones - those in at least a given share of the language's
-documents, so their number is bounded by the mean length of a document over that share.  The second computes
+Two passes over the corpus.  The first counts, per language, in how many distinct texts each word and each pair
+of neighbouring words occurs and keeps the *common* ones - those in at least a given share of the language's
+texts, so their number is bounded by the mean length of a document over that share.  The second computes
 the statistics of every document: counts, ratios and, for each way in which text is not prose, the share of
 its non-blank characters written in that way.  Each statistic is summarised per language in a mergeable KLL
 quantile sketch; values become percentiles and robust z-scores.  A document is flagged by its own share alone,
@@ -12,6 +12,7 @@ not by its place in the language, since a language may be junk for the most part
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ _DELIMITERS = "|\t;,"
 
 #: Statistics of which only large values are unusual, as shares of a document's non-blank characters.
 SHARES = ("alien_words", "alien_order", "codes", "list_items", "table_rows", "label_rows", "fragments", "repeats")
-#: Documents a language needs before words and their order can be held against its texts.
+#: Distinct texts a language needs before words and their order can be held against its texts.
 LEARNT = 10
 STATISTICS = ("words", "mean_word", "symbol_ratio", "digit_ratio", "ended_lines", "common_words", *SHARES, "not_prose")
 
@@ -96,7 +97,7 @@ def units(text: str) -> list[tuple[str, str]]:
     return [(a, b) for a, b in out]
 
 
-def judge(unit: str, structure: str, words: set[str] | None, pairs: set[tuple[str, str]]) -> str:
+def judge(unit: str, structure: str, words: set[str] | None, pairs: set[tuple[str, str]] | None) -> str:
     """In which of the SHARES ways the unit is not prose; '' if it is.  Without words (None) only its form counts."""
     w = _shapes(unit)
     plain = [x for x in w if x not in ("#", "g#")]
@@ -116,7 +117,7 @@ def judge(unit: str, structure: str, words: set[str] | None, pairs: set[tuple[st
     return ""
 
 
-def statistics(text: str | None, words: set[str] | None, pairs: set[tuple[str, str]], run: int = 8) -> dict[str, float]:
+def statistics(text: str | None, words: set[str] | None, pairs: set[tuple[str, str]] | None, run: int = 8) -> dict[str, float]:
     """All STATISTICS of one text; those of an empty or null text are 0."""
     text = text or ""
     low = _WORD.findall(text.lower())
@@ -146,22 +147,28 @@ def statistics(text: str | None, words: set[str] | None, pairs: set[tuple[str, s
     return out
 
 
-def _common(docs: DataFrame, sizes: dict[str, int], word_share: float, pair_share: float, limit: int) -> tuple[set[str], set[tuple[str, str]]]:
-    """The words and the pairs in at least a share of some language's documents (three at least).
+def _common(docs: DataFrame, sizes: dict[str, int], word_share: float, pair_share: float, limit: int) -> dict[str, tuple[set[str], set[tuple[str, str]]]]:
+    """By language, the words and the pairs in at least a share of its distinct texts (three at least).
 
-    ``docs`` holds (lang, t), t the words of a text; words and pairs are counted in one pass.
+    ``docs`` holds (lang, t), t the words of a distinct text; words and pairs are counted in one pass.  A language
+    with too few texts for its shares to say more than that floor, and texts without a language, get the terms
+    of all languages.
     """
     pairs = F.zip_with(F.slice("t", F.lit(1), F.size("t") - 1), F.slice("t", F.lit(2), F.size("t") - 1), lambda a, b: F.concat(a, F.lit(" "), b))
     terms = F.when(F.size("t") > 1, F.concat(F.array_distinct("t"), F.array_distinct(pairs))).otherwise(F.col("t"))
     counted = docs.select("lang", F.explode(terms).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("n"))
     least = lambda share: F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(max(3.0, share * n)))])[F.col("lang")]
     enough = F.when(F.col("term").contains(" "), F.col("n") >= least(pair_share)).otherwise(F.col("n") >= least(word_share))
-    common = cut(counted.filter(enough).select("term").distinct())
+    common = cut(counted.filter(enough).select("lang", "term"))
     n = common.count()
     if n > limit:  # cannot be while documents have fewer than limit * share / languages terms on average
         raise ValueError(f"{n} common terms: texts are too long for the shares {word_share} and {pair_share}")
-    found = [r.term for r in common.collect()]
-    return {t for t in found if " " not in t}, {tuple(t.split(" ")) for t in found if " " in t}
+    own: dict[str, set[str]] = {k: set() for k in sizes}
+    for r in common.collect():
+        own[r.lang].add(sys.intern(r.term))
+    parted = lambda found: ({t for t in found if " " not in t}, {tuple(t.split(" ")) for t in found if " " in t})
+    pool = parted(set().union(*own.values()))
+    return {k: pool if k == "und" or pair_share * n < 3 else parted(own[k]) for k, n in sizes.items()}
 
 
 def _at_most(column: str):
@@ -182,30 +189,31 @@ def quality(
     language, and ``prose`` (false where ``not_prose`` is over one half, however many such texts the language has).
 
     Documents without a language form a group of their own.  Null and empty texts have statistics of 0 and
-    are prose (nothing speaks against them); in a language of fewer than LEARNT documents words and their order
+    are prose (nothing speaks against them); in a language of fewer than LEARNT distinct texts words and their order
     are not judged, so ``alien_order`` is 0 there and ``alien_words`` the share without any word; a null id keeps its row; repeated rows stay repeated; an empty
     table gives an empty result.  Texts are read whole and all documents are counted.
     """
     docs = documents.select(F.col(id_col).alias("id"), F.coalesce(F.nullif(F.trim(F.lower(lang_col)), F.lit("")), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    per_language = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()
-    if len(per_language) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    sizes = {r.lang: r.n for r in per_language} or {"und": 0}
     shaped = F.transform(
         F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), 1),
         lambda w: F.when(w.rlike(r"^\p{Nd}+$"), "#").when(w.rlike(r"\p{Nd}"), "g#").otherwise(w),
     )
-    tokens = docs.select("lang", shaped.alias("t"))
-    words, pairs = _common(tokens, sizes, word_share, pair_share, term_limit)
+    # copies of a text count once: what is copied often teaches no words
+    texts = cut(docs.select("lang", F.concat_ws(" ", shaped).alias("t")).distinct())
+    per_language = texts.groupBy("lang").agg(F.count_if(F.col("t") != "").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages + 1).collect()
+    if len(per_language) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    sizes = {r.lang: r.n for r in per_language} or {"und": 0}
+    known = _common(texts.filter("t <> ''").select("lang", F.split("t", " ").alias("t")), sizes, word_share, pair_share, term_limit)
     # texts without a language are in any of the languages
     learnt = {k for k, n in sizes.items() if (sum(sizes.values()) if k == "und" else n) >= LEARNT}
     context = documents.sparkSession.sparkContext
-    shared = context.broadcast((words, pairs))  # bounded: checked against term_limit
+    shared = context.broadcast({k: known[k] if k in learnt else (None, None) for k in known})  # bounded: checked against term_limit
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, p = shared.value
+        terms = shared.value
         for pdf in batches:
-            rows = pd.DataFrame([statistics(t, w if k in learnt else None, p) for t, k in zip(pdf["text"], pdf["lang"])], columns=list(STATISTICS))
+            rows = pd.DataFrame([statistics(t, *terms[k]) for t, k in zip(pdf["text"], pdf["lang"])], columns=list(STATISTICS))
             yield pd.concat([pdf[["id", "lang"]].reset_index(drop=True), rows], axis=1)
 
     kind = docs.schema["id"].dataType.simpleString()

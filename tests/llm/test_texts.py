@@ -246,6 +246,26 @@ def test_junk_is_flagged_where_it_is_frequent_and_in_small_languages(spark):
     assert got == {i for i, _ in bad + lists} | {6000}
 
 
+def test_copied_junk_teaches_no_words(spark):
+    good, bad = corpus()
+    r = random.Random(6)
+    salad = " ".join("".join(r.choice("bcdfgklmnprst") + r.choice("aeiou") for _ in range(3)) for _ in range(80))
+    rows = [(i, t, "en") for i, t in good + bad] + [(7000 + k, salad if k % 2 else salad.upper() + ".", "en") for k in range(150)] + [(7500 + k, salad, None) for k in range(5)]
+    got = {x.doc_id for x in quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).filter("not prose").collect()}
+    assert got == {i for i, *_ in rows if i >= 7000} | {i for i, _ in bad}
+
+
+def test_words_are_those_of_the_own_language(spark):
+    good, _ = corpus()
+    swap = {w: w[::-1] + "o" for _, t in good for w in words(t)}
+    other = [(i, re.sub(r"[^\W\d_]+", lambda m: swap[m[0].lower()], t)) for i, t in good if i < 1000]
+    english = [(10_000 * k + i, f"{t} {t2}", "en") for k in range(3) for (i, t), (_, t2) in zip(good[:300], good[k + 1 : 300])]
+    theirs = [(100_000 + 10_000 * k + i, f"{t} {t2}", "xx") for k in range(3) for (i, t), (_, t2) in zip(other, other[k + 1 :])]
+    wrong = (999_999, english[0][1], "xx")
+    df = spark.createDataFrame([*english, *theirs, wrong], "doc_id long, text string, lang string")
+    assert [x.doc_id for x in quality(df).filter("alien_words > 0.5").collect()] == [999_999]
+
+
 def test_statistics_of_long_and_odd_texts():
     s = statistics(PROSE * 3000, set(words(PROSE)), set(zip(words(PROSE * 2), words(PROSE * 2)[1:])))
     assert s["repeats"] > 0.9 and s["words"] == 3000 * len(words(PROSE))
