@@ -123,9 +123,10 @@ def truthy(x: Column) -> Column:
     return F.coalesce(F.lower(F.trim(x.cast("string"))).isin("true", "1", "yes"), F.lit(False))
 
 
-def passes_profile(profile: str, title: Column, ling_score: Column, setfit: Column, has_url: Column) -> Column:
-    """Whether a paper passes a filter profile; the bypass decides alone where it applies."""
-    p = X.PROFILES[profile]
+def passes_profile(profile: str | dict, title: Column, ling_score: Column, setfit: Column, has_url: Column) -> Column:
+    """Whether a paper passes a filter profile, a built-in one by name or any by its values; the bypass decides
+    alone where it applies."""
+    p = X.PROFILES[profile] if isinstance(profile, str) else profile
     url_ok = truthy(has_url) if p["require_url"] else F.lit(True)
     bypass = ling_score.isNotNull() & (ling_score + title_modifier(title)[0] >= p["bypass"])
     keyword = contains_any(F.lower(filled(title)), p["keywords"])
@@ -174,6 +175,11 @@ def clean_id(x: Column | str) -> Column:
     return F.when(t.rlike(r"^\d+$"), t)
 
 
+def paper_ids(x: Column | str) -> Column:
+    """The paper ids in a text, in order: every run of seven or eight digits that is a word of its own."""
+    return F.regexp_extract_all(filled(x), F.lit(r"\b\d{7,8}\b"), F.lit(0))
+
+
 def flag_to_int(x: Column | str) -> Column:
     """Y/true is 1, N/false/blank 0, a whole number itself, anything else 0."""
     t = F.trim(filled(x))
@@ -186,6 +192,17 @@ def json_list(x: Column | str) -> Column:
     return F.coalesce(F.when(F.trim(c(x)).startswith("["), F.array_compact(parsed)), F.array().cast("array<string>"))
 
 
+def literal_list(x: Column | str) -> Column:
+    """A list literal with single or double quotes as an array; null for any other text.
+
+    Quotes are swapped to those of JSON only where the text has no double quote, so that an apostrophe inside a
+    double-quoted element stays.
+    """
+    t = F.trim(c(x))
+    swapped = F.when(t.contains('"'), t).otherwise(F.replace(t, F.lit("'"), F.lit('"')))
+    return F.when(t.startswith("[") & t.endswith("]"), F.from_json(swapped, "array<string>", {"mode": "PERMISSIVE"}))
+
+
 def split_list(x: Column | str, separator: str = ",") -> Column:
     """The trimmed non-blank pieces of a delimited cell; [] for null."""
     pieces = F.transform(F.split(filled(x), F.lit(f"[{separator}]")), lambda x: F.trim(x))

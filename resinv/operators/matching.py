@@ -32,17 +32,13 @@ def exact_matches(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def _keys(low: Column, eff: Column) -> Column:
+    """Block keys: the first two letters, the first two without digits, and the effective domain.
+
+    Names that share three letters share two, so longer prefixes would add nothing.
+    """
     bare = F.regexp_replace(low, r"\d+", "")
-    return F.array_distinct(
-        F.array_compact(
-            F.array(
-                F.when(F.length(low) >= 3, F.concat(F.lit("3:"), F.substring(low, 1, 3))),
-                F.when(F.length(low) == 2, F.concat(F.lit("2:"), F.substring(low, 1, 2))),
-                F.when(F.length(bare) >= 3, F.concat(F.lit("3:"), F.substring(bare, 1, 3))),
-                F.when(eff != "", F.concat(F.lit("d:"), eff)),
-            )
-        )
-    )
+    prefix = lambda x: F.when(F.length(x) >= 2, F.concat(F.lit("p:"), F.substring(x, 1, 2)))
+    return F.array_distinct(F.array_compact(F.array(prefix(low), prefix(bare), F.when(eff != "", F.concat(F.lit("d:"), eff)))))
 
 
 def _windows(low: Column, length: Column) -> Column:
@@ -50,15 +46,16 @@ def _windows(low: Column, length: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(low) - length + 1), lambda i: F.substring(low, i, length))
 
 
-def candidates(a: DataFrame, b: DataFrame, least: int = 4) -> DataFrame:
+def candidates(a: DataFrame, b: DataFrame, least: int = 4, salts: int = 8) -> DataFrame:
     """``(a_low, b_low)`` of distinct different names that share a block key or contain one another.
 
-    Containment is an equi-join on the first ``least`` letters of the shorter name: every window of that many
+    A block of a common prefix or domain is spread over ``salts`` tasks: the extracted side by a hash of the
+    name, the baseline side repeated.  Containment is an equi-join on the first ``least`` letters of the shorter name: every window of that many
     letters of the longer name is looked up, and the hit is verified.
     """
-    ka = a.select("a_low", F.explode(_keys(F.col("a_low"), F.col("a_eff"))).alias("k"))
-    kb = b.select("b_low", F.explode(_keys(F.col("b_low"), F.col("b_eff"))).alias("k"))
-    blocked = ka.hint("merge").join(kb, "k").select("a_low", "b_low")
+    ka = a.select("a_low", F.explode(_keys(F.col("a_low"), F.col("a_eff"))).alias("k"), F.pmod(F.xxhash64("a_low"), F.lit(salts)).cast("int").alias("salt"))
+    kb = b.select("b_low", F.explode(_keys(F.col("b_low"), F.col("b_eff"))).alias("k")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    blocked = ka.hint("merge").join(kb, ["k", "salt"]).select("a_low", "b_low")
     n = F.lit(least)
     wa = a.filter(F.length("a_low") >= least).select("a_low", F.explode(F.array_distinct(_windows(F.col("a_low"), n))).alias("k"))
     wb = b.filter(F.length("b_low") >= least).select("b_low", F.explode(F.array_distinct(_windows(F.col("b_low"), n))).alias("k"))

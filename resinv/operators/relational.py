@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resinv.functions.text import c
+from resinv.operators.lineage import cut
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -77,22 +78,36 @@ def first_hit(df: DataFrame, keys: Column, table: DataFrame, key: str, value: st
     return df.join(best.select("row", F.col("b.hit").alias("hit"), F.col("b.hit_key").alias("hit_key")), "row", "left")
 
 
-def chunk_numbers(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
-    """``chunk`` from 1, so that chunks are of nearly equal size, larger ones first.
+def positions(df: DataFrame, order: list[Column | str], name: str = "position") -> DataFrame:
+    """The rows with their position from 1 in a total order of the table.
 
-    Positions come from one sort by range: each range adds the sizes of the ranges before it.
+    Positions come from one sort by range: each range adds the sizes of the ranges before it, so no table is
+    sorted in one task.  Rows that tie in ``order`` get positions in any order; callers name columns enough.
     """
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
+    placed = cut(df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()))
     sizes = placed.groupBy("_p").agg(F.count("*").alias("_s"))  # one row per range
-    starts = sizes.select("_p", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_s").over(Window.partitionBy(F.lit(1))).alias("_total"))
-    at = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) + F.col("_before") - 1
-    big = F.floor(F.col("_total") / chunks) + 1
-    many = F.col("_total") % chunks
-    small = F.greatest(F.floor(F.col("_total") / chunks), F.lit(1))
-    number = F.when(F.col("_at") < many * big, F.floor(F.col("_at") / big)).otherwise(many + F.floor((F.col("_at") - many * big) / small)) + 1
-    out = placed.join(F.broadcast(starts), "_p").withColumn("_at", at).withColumn("chunk", number.cast("long"))
-    return out.drop("_p", "_before", "_total", "_at")
+    starts = sizes.select("_p", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    at = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) + F.col("_before")
+    return placed.join(F.broadcast(starts), "_p").withColumn(name, at.cast("long")).drop("_p", "_before")
+
+
+def chunk_numbers(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
+    """``chunk`` from 1, so that chunks are of nearly equal size, larger ones first."""
+    placed = positions(df, order, "_at")
+    total = placed.agg(F.count("*")).scalar()
+    at = F.col("_at") - 1
+    big = F.floor(total / chunks) + 1
+    many = total % chunks
+    small = F.greatest(F.floor(total / chunks), F.lit(1))
+    number = F.when(at < many * big, F.floor(at / big)).otherwise(many + F.floor((at - many * big) / small)) + 1
+    return placed.withColumn("chunk", number.cast("long")).drop("_at")
+
+
+def min_count(df: DataFrame, least: int, columns: tuple[str, ...] = ("unique_paper_count", "total_paper_count")) -> DataFrame:
+    """The rows whose count is at least ``least``, by the first of the columns that the table has; all if it has none."""
+    known = next((n for n in columns if n in df.columns), None)
+    return df if known is None else df.filter(F.col(known) >= least)
 
 
 def tier(value: Column, bounds: list[tuple[float, str]], lowest: str) -> Column:
@@ -130,3 +145,13 @@ def column_check(df: DataFrame, reference: list[str]) -> dict[str, list[str]]:
     known = [n for n in df.columns if n in reference]
     wanted = [n for n in reference if n in df.columns]
     return {"missing": [n for n in reference if n not in df.columns], "unknown": [n for n in df.columns if n not in reference], "moved": [a for a, b in zip(known, wanted) if a != b]}
+
+
+def review_parts(df: DataFrame) -> dict[str, DataFrame]:
+    """Side outputs of an inventory for people: renamed records, URLs to review, records left out for want of a URL."""
+    conditions = {
+        "modified_names": F.coalesce(F.col("name_modification_flags"), F.lit("")) != "",
+        "urls_to_review": F.col("url_validation") == "review",
+        "excluded": F.coalesce(F.trim("extracted_url"), F.lit("")) == "",
+    }
+    return {name: df.filter(cond) for name, cond in conditions.items()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from resinv.functions import text as fx
-from resinv.operators.relational import keep_first
+from resinv.operators.relational import keep_first, min_count
 from resinv.plans import sqltext as S
 from resinv.plans.registry import query, table
 from resinv.plans.views import papers
@@ -257,3 +257,10 @@ def confidence_tiers(spark: SparkSession, d: str) -> DataFrame:
     u = table(spark, d, "union_papers_with_primary_resources").filter("setfit_confidence is not null")
     s = F.col("setfit_confidence")
     return u.select("pmid", "setfit_confidence", tier(s, [(0.70, "high"), (0.60, "medium")], "low").alias("tier"), F.when(s >= 0.5, "introduction").otherwise("usage").alias("label"))
+
+
+@query(f"WITH {_UNION}, c AS (SELECT lower(trim(entity_text)) AS entity, count(DISTINCT pmid) AS unique_paper_count, count(*) AS total_paper_count FROM merged GROUP BY 1) SELECT * FROM c WHERE unique_paper_count >= 2")
+def entities_of_papers(spark: SparkSession, d: str) -> DataFrame:
+    """Entities that two papers or more name."""
+    c = merged(spark, d).groupBy(fx.normal_entity("entity_text").alias("entity")).agg(F.countDistinct("pmid").alias("unique_paper_count"), F.count("*").alias("total_paper_count"))
+    return min_count(c, 2)

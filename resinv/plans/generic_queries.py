@@ -103,20 +103,24 @@ def json_field(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").groupBy("event_type", F.get_json_object("props", "$.k").alias("k")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS as_number FROM orders ORDER BY CAST(o_orderkey AS VARCHAR) LIMIT 50")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS as_number, row_number() OVER (ORDER BY CAST(o_orderkey AS VARCHAR)) AS position FROM orders")
 def sort_ids_as_text(spark: SparkSession, d: str) -> DataFrame:
-    """Ids in the order of their text, which differs from their order as numbers."""
+    """Ids with their position in the order of their text, which differs from their order as numbers."""
     o = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderkey").alias("as_number"))
-    return o.orderBy("id").limit(50)
+    return R.positions(o, ["id"])
 
 
-@query("SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END AS p FROM orders ORDER BY p, o_orderkey LIMIT 50")
+@query("SELECT o_orderkey, p, row_number() OVER (ORDER BY p, o_orderkey) AS position FROM (SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END AS p FROM orders)")
 def sort_by_priority(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with their position by priority, then key."""
     p = F.when(F.col("o_orderpriority") == "1-URGENT", 0).when(F.col("o_orderpriority") == "2-HIGH", 1).otherwise(2)
-    return table(spark, d, "orders").select("o_orderkey", p.alias("p")).orderBy("p", "o_orderkey").limit(50)
+    return R.positions(table(spark, d, "orders").select("o_orderkey", p.alias("p")), ["p", "o_orderkey"])
 
 
-@query()
+_HASH = lambda x, seed: f"('0x' || substr(md5('{seed}|' || {x}), 1, 8))::BIGINT"
+
+
+@query(f"SELECT o_orderkey FROM orders ORDER BY {_HASH('CAST(o_orderkey AS VARCHAR)', 42)}, CAST(o_orderkey AS VARCHAR) LIMIT 100")
 def random_sample(spark: SparkSession, d: str) -> DataFrame:
     """A seeded sample of 100 orders; the sample is the feature."""
     from resinv.operators.sampling import sample_n
@@ -124,7 +128,10 @@ def random_sample(spark: SparkSession, d: str) -> DataFrame:
     return sample_n(table(spark, d, "orders").select("o_orderkey"), 100, 42)
 
 
-@query()
+@query(
+    f"""WITH h AS (SELECT ({_HASH('CAST(o_orderkey AS VARCHAR)', 42)} % 1000000) / 1000000.0 AS x FROM orders)
+SELECT CASE WHEN x < 0.7 THEN 'train' WHEN x < 0.85 THEN 'val' ELSE 'test' END AS part, count(*) AS n FROM h GROUP BY 1"""
+)
 def seeded_split(spark: SparkSession, d: str) -> DataFrame:
     """A seeded three-way split of the orders, counted; a row's part depends on its key alone."""
     from resinv.operators.sampling import split
@@ -184,7 +191,10 @@ def classifier_scores(spark: SparkSession, d: str) -> DataFrame:
     return TextClassifier("text").fit(u, "label").score(u.select("pmid", "text")).select("pmid", "prediction", F.round("confidence", 6).alias("confidence"))
 
 
-@query()
+@query(
+    r"""WITH w AS (SELECT pmid, unnest(regexp_split_to_array(coalesce(title, ''), '\s+')) AS w FROM union_papers_with_primary_resources)
+SELECT pmid, trim(w, '.,;:()[] ') AS mention, 'COM' AS label, CAST(1.0 AS DOUBLE) AS prob FROM w WHERE regexp_matches(w, '^[A-Z]\w*[A-Z]')"""
+)
 def folded_tags(spark: SparkSession, d: str) -> DataFrame:
     """Sentences tagged by capitals, folded to entities."""
     from resinv.operators.tags import fold_tags

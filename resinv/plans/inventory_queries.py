@@ -10,6 +10,7 @@ from resinv.functions import names as nx
 from resinv.functions import text as fx
 from resinv.functions import urls as ux
 from resinv.operators import relational as R
+from resinv.operators.countries import extract_countries, standard_country
 from resinv.plans import sqltext as S
 from resinv.plans.registry import query, table
 from resinv.plans.views import papers, scans
@@ -56,14 +57,14 @@ def scan_backfill(spark: SparkSession, d: str) -> DataFrame:
 
 # URL recovery
 
-_IDS = "list_filter(list_transform(regexp_split_to_array(coalesce(ID, ''), '[^0-9]+'), lambda p: trim(p)), lambda p: p <> '')"
+_IDS = r"regexp_extract_all(coalesce(ID, ''), '\b\d{7,8}\b')"
+_URL_OK = f"extracted_url IS NOT NULL AND NOT {S.inlist('lower(trim(extracted_url))', X.BLANKS)} AND regexp_matches(extracted_url, '^[a-zA-Z]+://[^/]')"
 _MISSING = f"(extracted_url IS NULL OR {S.inlist('lower(trim(extracted_url))', X.BLANKS)} OR extracted_url = 'http://')"
 
 
 def records(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    """Inventory records with their list of papers (every run of digits in ID)."""
-    ids = F.filter(F.split(fx.filled("ID"), "[^0-9]+"), lambda p: p != "")
-    return table(spark, d, "final_inventory").select(F.col("record_num").alias("row"), ids.alias("ids"), *columns)
+    """Inventory records with their list of papers."""
+    return table(spark, d, "final_inventory").select(F.col("record_num").alias("row"), fx.paper_ids("ID").alias("ids"), *columns)
 
 
 @query(f"SELECT record_num AS row, array_to_string(list_sort(list_distinct({_IDS})), ',') AS pmids, CAST(len({_IDS}) AS INTEGER) AS papers FROM final_inventory WHERE {_MISSING}")
@@ -268,37 +269,77 @@ def metadata_aggregate(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(
-    """WITH a AS (SELECT record_num, ' ' || regexp_replace(lower(coalesce(affiliation, '')), '[^a-z0-9]+', ' ', 'g') || ' ' AS t FROM final_inventory),
-k AS (SELECT name, ' ' || regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g') || ' ' AS n, ' ' || lower(alpha3) || ' ' AS c FROM country_list)
-SELECT record_num, coalesce(string_agg(name, ', ' ORDER BY name) FILTER (contains(t, n) OR contains(t, c)), '') AS countries FROM a, k GROUP BY record_num"""
-)
+def _countries_sql(out: str) -> str:
+    cases = " ".join(f"UNION ALL SELECT record_num, {S.q(full)} FROM final_inventory WHERE regexp_matches(coalesce(affiliation, ''), '\\b{short}\\b')" for short, full in X.COUNTRY_ABBREVIATIONS.items())
+    return f"""WITH a AS (SELECT record_num, ' ' || regexp_replace(lower(coalesce(affiliation, '')), '[^a-z0-9]+', ' ', 'g') || ' ' AS t FROM final_inventory),
+k AS (SELECT name, {out} AS o, ' ' || trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) || ' ' AS n, ' ' || lower(alpha3) || ' ' AS c FROM country_list),
+ab AS (SELECT NULL::BIGINT AS record_num, '' AS name WHERE false {cases}),
+f AS (SELECT record_num, o FROM a, k WHERE contains(t, n) OR contains(t, c) UNION SELECT record_num, o FROM ab JOIN k ON trim(k.n) = lower(ab.name))
+SELECT i.record_num, coalesce(string_agg(o, ', ' ORDER BY o), '') AS countries FROM final_inventory i LEFT JOIN f USING (record_num) GROUP BY i.record_num"""
+
+
+@query(_countries_sql("name"))
 def countries_extract(spark: SparkSession, d: str) -> DataFrame:
-    """Countries named by name or alpha-3 code in an affiliation.
-
-    The text is cut into runs of one to six words and joined by equality to the names and codes, so no row is
-    compared with every country; names of more words would need a larger run.
-    """
-    plain = lambda x: F.trim(F.regexp_replace(F.lower(fx.filled(x)), r"[^a-z0-9]+", " "))
-    words = F.split(plain("affiliation"), " ")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(6)), lambda n: F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))))
-    inv = table(spark, d, "final_inventory").select("record_num", "affiliation")
-    terms = inv.select("record_num", F.explode(F.array_distinct(runs)).alias("term"))
-    c = table(spark, d, "country_list")
-    names = c.select("name", F.explode(F.array(plain("name"), F.lower("alpha3"))).alias("term")).distinct()
-    found = terms.join(names, "term").groupBy("record_num").agg(F.array_join(F.array_sort(F.collect_set("name")), ", ").alias("countries"))
-    return inv.select("record_num").join(found, "record_num", "left").na.fill({"countries": ""})
+    """Countries named by name, alpha-3 code or cased abbreviation in an affiliation."""
+    return extract_countries(table(spark, d, "final_inventory").select("record_num", "affiliation"), "record_num", "affiliation", table(spark, d, "country_list"))
 
 
-@query(
-    """SELECT i.record_num, i.extracted_url_country AS stored, coalesce(c.name, nullif(trim(i.extracted_url_country), ''), '') AS country FROM final_inventory i LEFT JOIN country_list c
- ON upper(trim(i.extracted_url_country)) IN (upper(c.alpha2), upper(c.alpha3), upper(c.name))"""
-)
+@query(_countries_sql("alpha2"))
+def countries_extract_alpha2(spark: SparkSession, d: str) -> DataFrame:
+    """The same as alpha-2 codes."""
+    return extract_countries(table(spark, d, "final_inventory").select("record_num", "affiliation"), "record_num", "affiliation", table(spark, d, "country_list"), "alpha-2")
+
+
+def _url_country_sql(out: str) -> str:
+    return f"""WITH k AS (SELECT *, string_split(trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM country_list),
+i AS (SELECT record_num, extracted_url_country AS s, trim(regexp_replace(lower(coalesce(extracted_url_country, '')), '[^a-z0-9]+', ' ', 'g')) AS p FROM final_inventory),
+whole AS (SELECT record_num, arg_min({out}, name) AS o FROM i JOIN country_list ON upper(trim(s)) IN (upper(alpha2), upper(alpha3), upper(name)) GROUP BY 1),
+part AS (SELECT record_num, arg_min({out}, (strpos(' ' || array_to_string(w, ' ') || ' ', ' ' || p || ' '), name)) AS o FROM i JOIN k ON p <> '' AND contains(' ' || array_to_string(w, ' ') || ' ', ' ' || p || ' ') GROUP BY 1)
+SELECT i.record_num, coalesce(whole.o, part.o, nullif(trim(s), ''), '') AS country FROM i LEFT JOIN whole USING (record_num) LEFT JOIN part USING (record_num)"""
+
+
+@query(_url_country_sql("name"))
 def url_country(spark: SparkSession, d: str) -> DataFrame:
-    """The country of a URL by code or name, as stored if unknown."""
-    c = table(spark, d, "country_list").select("name", F.explode(F.array(F.upper("alpha2"), F.upper("alpha3"), F.upper("name"))).alias("k")).distinct()
-    i = table(spark, d, "final_inventory").select("record_num", F.col("extracted_url_country").alias("stored"), F.upper(F.trim("extracted_url_country")).alias("k"))
-    return i.join(c, "k", "left").select("record_num", "stored", F.coalesce("name", F.nullif(F.trim("stored"), F.lit("")), F.lit("")).alias("country"))
+    """The country of a URL by code, name or part of a name, as stored if unknown."""
+    return standard_country(table(spark, d, "final_inventory"), "record_num", "extracted_url_country", table(spark, d, "country_list"))
+
+
+@query(_url_country_sql("alpha3"))
+def url_country_alpha3(spark: SparkSession, d: str) -> DataFrame:
+    """The same as alpha-3 codes."""
+    return standard_country(table(spark, d, "final_inventory"), "record_num", "extracted_url_country", table(spark, d, "country_list"), "alpha-3")
+
+
+# side outputs for people
+
+
+@query("SELECT record_num, best_name, best_name_original, name_modification_flags FROM final_inventory WHERE coalesce(name_modification_flags, '') <> ''")
+def review_modified_names(spark: SparkSession, d: str) -> DataFrame:
+    """Records whose name was changed."""
+    return R.review_parts(table(spark, d, "final_inventory"))["modified_names"].select("record_num", "best_name", "best_name_original", "name_modification_flags")
+
+
+@query("SELECT record_num, extracted_url, url_validation FROM final_inventory WHERE url_validation = 'review'")
+def review_urls(spark: SparkSession, d: str) -> DataFrame:
+    """Records whose URL a person should look at."""
+    return R.review_parts(table(spark, d, "final_inventory"))["urls_to_review"].select("record_num", "extracted_url", "url_validation")
+
+
+@query("SELECT record_num, best_name, extracted_url FROM final_inventory WHERE trim(coalesce(extracted_url, '')) = ''")
+def review_excluded(spark: SparkSession, d: str) -> DataFrame:
+    """Records left out for want of a URL."""
+    return R.review_parts(table(spark, d, "final_inventory"))["excluded"].select("record_num", "best_name", "extracted_url")
+
+
+@query(f"""WITH u AS (SELECT extracted_url AS url, min(record_num) AS record_num FROM final_inventory WHERE {_URL_OK} GROUP BY 1),
+h AS (SELECT *, {S.host("url")} AS host FROM u)
+SELECT row_number() OVER (ORDER BY record_num) AS url_id, url, record_num, host, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM h""")
+def scan_list(spark: SparkSession, d: str) -> DataFrame:
+    """The URLs to scan: each once, under its first record, numbered in that order, with host and path."""
+    rows = table(spark, d, "final_inventory").select("record_num", F.col("extracted_url").alias("url")).filter(~fx.is_blank("url") & F.col("url").rlike("^[a-zA-Z]+://[^/]"))
+    once = rows.groupBy("url").agg(F.min("record_num").alias("record_num"))
+    parts = once.select("url", "record_num", ux.authority("url").alias("host"), F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1).alias("path"))
+    return R.positions(parts, ["record_num"], "url_id")
 
 
 @query("WITH c AS (SELECT trim(unnest(regexp_split_to_array(affiliation_countries, '[,;]'))) AS country FROM final_inventory) SELECT country, count(*) AS n FROM c WHERE country <> '' GROUP BY country ORDER BY n DESC, country LIMIT 10")

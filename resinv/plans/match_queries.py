@@ -9,6 +9,7 @@ from resinv.functions import fixed as X
 from resinv.functions import names as nx
 from resinv.functions import text as fx
 from resinv.operators import matching as M
+from resinv.operators import relational as R
 from resinv.operators.merge import FIRST, merge_resources
 from resinv.plans import sqltext as S
 from resinv.plans.registry import query, table
@@ -61,6 +62,16 @@ def dedup_by_url_entity(spark: SparkSession, d: str) -> DataFrame:
     return merge_resources(union_with_urls(spark, d))
 
 
+@query(
+    f"""WITH {_with_urls_sql()}, {_merge_sql('w', 'm')}
+SELECT host, norm_entity, article_count, primary_score, row_number() OVER (ORDER BY article_count DESC, primary_score DESC NULLS LAST, host, norm_entity) AS position FROM m"""
+)
+def dedup_ranked(spark: SparkSession, d: str) -> DataFrame:
+    """The merged resources with their position by number of papers, then score."""
+    m = merge_resources(union_with_urls(spark, d)).select("host", "norm_entity", "article_count", "primary_score")
+    return R.positions(m, [F.desc("article_count"), F.desc_nulls_last("primary_score"), "host", "norm_entity"])
+
+
 # fuzzy matching of the union's short names to the inventory
 
 
@@ -92,8 +103,10 @@ def fuzzy_exact(spark: SparkSession, d: str) -> DataFrame:
     return M.exact_matches(a, b).select("a_name", "b_name")
 
 
-_KEY = lambda p: f"""SELECT {p}_low, CASE WHEN length({p}_low) >= 3 THEN '3:' || {p}_low[1:3] WHEN length({p}_low) = 2 THEN '2:' || {p}_low END AS k FROM {p}
- UNION SELECT {p}_low, CASE WHEN length(regexp_replace({p}_low, '\\d+', '', 'g')) >= 3 THEN '3:' || regexp_replace({p}_low, '\\d+', '', 'g')[1:3] END FROM {p} UNION SELECT {p}_low, CASE WHEN {p}_eff <> '' THEN 'd:' || {p}_eff END FROM {p}"""
+_KEY = lambda p: f"""SELECT {p}_low, 'p:' || {p}_low[1:2] AS k FROM {p} WHERE length({p}_low) >= 2
+ UNION SELECT {p}_low, 'p:' || {p}_low[1:3] FROM {p} WHERE length({p}_low) >= 3
+ UNION SELECT {p}_low, 'p:' || regexp_replace({p}_low, '\\d+', '', 'g')[1:2] FROM {p} WHERE length(regexp_replace({p}_low, '\\d+', '', 'g')) >= 2
+ UNION SELECT {p}_low, 'd:' || {p}_eff FROM {p} WHERE {p}_eff <> ''"""
 
 
 @query(

@@ -106,15 +106,6 @@ def row_exclusion(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("record_num", ((ux.triage("extracted_url") == "blocked") | fx.is_blank("extracted_url") | dead).alias("excluded"))
 
 
-# One URL per rule, so that every branch is met whatever the inventory holds.
-PROBES = [
-    "https://github.com/a/b", "http://a.github.io/b", "https://doi.org/10.1/x", "https://x.org/paper.pdf", "ftp://ftp.x.org/y", "http://www.ncbi.nlm.nih.gov/nuccore",
-    "http://ensembl.org/Homo", "http://lab.school.edu", "http://lab.school.edu/db", "https://zenodo.org/record/1", "http://dept.uni.ac.uk/tool/", "http://data.x.org",
-    "https://cran.r-project.org/p", "http://osf.io/abc", "https://www.youtube.com/w", "http://pub.cell.com/x", "http://breast.gxbsidra.org/v", "",
-]
-_PROBES_SQL = "probes AS (SELECT unnest([" + ", ".join(S.q(p) for p in PROBES) + "]) AS url), named AS (SELECT url, name FROM probes, (VALUES ('ensembl'), ('x'), ('')) AS n(name))"
-
-
 def _recovery_sql() -> str:
     u, n = "lower(url)", "lower(name)"
     cases = [f"WHEN contains({u}, {S.q(x)}) THEN {S.q('excluded_domain:' + x)}" for x in X.RECOVERY_EXCLUDED]
@@ -126,19 +117,16 @@ def _recovery_sql() -> str:
     return "CASE " + " ".join(cases) + " ELSE '' END"
 
 
-def _probes(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.explode(F.array(*map(F.lit, PROBES))).alias("url"))
-
-
 @query(
-    f"""WITH {_PROBES_SQL} SELECT url, name, {_recovery_sql()} AS recovery_reason, CASE WHEN url = '' THEN '' ELSE {_cases('lower(url)', X.EXCLUSION_REASONS, '')} END AS reason,
+    f"""WITH named AS (SELECT record_num, coalesce(extracted_url, '') AS url, coalesce(best_name, '') AS name FROM final_inventory)
+SELECT record_num, url, {_recovery_sql()} AS recovery_reason, CASE WHEN url = '' THEN '' ELSE {_cases('lower(url)', X.EXCLUSION_REASONS, '')} END AS reason,
  CASE WHEN {S.matched('lower(url)', X.BLOCKED_PATTERNS, False)} THEN 'blocked' WHEN {S.matched('lower(url)', X.REVIEW_PATTERNS, False)} THEN 'review' ELSE 'ok' END AS triage,
  {S.some(f"regexp_replace(CASE WHEN {S.host('url')} = '' THEN lower(url) ELSE {S.host('url')} END, '^www.', '')", X.EXCLUDED_DOMAINS)} AS excluded_domain FROM named"""
 )
 def url_rules(spark: SparkSession, d: str) -> DataFrame:
-    """Every rule list on one URL per rule."""
-    named = _probes(spark).withColumn("name", F.explode(F.array(F.lit("ensembl"), F.lit("x"), F.lit(""))))
-    return named.select("url", "name", ux.recovery_reason("url", "name").alias("recovery_reason"), ux.exclusion_reason("url").alias("reason"), ux.triage("url").alias("triage"), ux.is_excluded_domain("url").alias("excluded_domain"))
+    """Every rule list on every record's URL."""
+    named = _inventory(spark, d, "best_name").select("record_num", fx.filled("extracted_url").alias("url"), fx.filled("best_name").alias("name"))
+    return named.select("record_num", "url", ux.recovery_reason("url", "name").alias("recovery_reason"), ux.exclusion_reason("url").alias("reason"), ux.triage("url").alias("triage"), ux.is_excluded_domain("url").alias("excluded_domain"))
 
 
 _A = "coalesce(abstract, '')"
@@ -237,9 +225,16 @@ def filter_url_list(spark: SparkSession, d: str) -> DataFrame:
     return scans(spark, d, "all_urls").select("pmid", kept.alias("urls"), F.array_join(reasons, "; ").alias("reasons"))
 
 
-@query(f"WITH {_PROBES_SQL}, x AS (SELECT CASE WHEN url = '' THEN '' ELSE {_cases('lower(url)', X.EXCLUSION_REASONS, '')} END AS reason FROM probes) SELECT reason, count(*) AS n FROM x WHERE reason <> '' GROUP BY reason")
+@query(
+    f"""WITH {S.SCANS}, l AS (SELECT all_urls, {_TAGGED} AS r FROM scans WHERE all_urls IS NOT NULL AND NOT {S.inlist('lower(trim(all_urls))', X.BLANKS)}),
+x AS (SELECT unnest(list_filter(list_transform(r, lambda u: {_REASON}), lambda x: x <> '')) AS reason FROM l) SELECT reason, count(*) AS n FROM x GROUP BY reason"""
+)
 def exclusion_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _probes(spark).select(ux.exclusion_reason("url").alias("reason")).filter("reason <> ''").groupBy("reason").agg(F.count("*").alias("n"))
+    """How many URLs of the packed lists each reason excludes."""
+    from resinv.plans.views import scans
+
+    _, reasons = ux.filter_url_list("all_urls")
+    return scans(spark, d, "all_urls").select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query(

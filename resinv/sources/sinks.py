@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resinv.operators.relational import chunk_numbers
+from resinv.operators.relational import chunk_numbers, review_parts
 
 
 def _single(folder: Path, suffix: str, target: Path) -> str:
@@ -78,10 +78,5 @@ def replace_table(df: DataFrame, path: str) -> str | None:
 
 
 def review_outputs(df: DataFrame, folder: str) -> list[str]:
-    """Side outputs for people: renamed records, URLs to review, records left out for want of a URL."""
-    parts = {
-        "modified_names": F.coalesce(F.col("name_modification_flags"), F.lit("")) != "",
-        "urls_to_review": F.col("url_validation") == "review",
-        "excluded": F.coalesce(F.trim("extracted_url"), F.lit("")) == "",
-    }
-    return [write_csv(df.filter(cond), f"{folder}/{name}.csv") for name, cond in parts.items()]
+    """The side outputs for people, one CSV each."""
+    return [write_csv(part, f"{folder}/{name}.csv") for name, part in review_parts(df).items()]

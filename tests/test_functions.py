@@ -129,3 +129,44 @@ def test_tag_names(spark):
 def test_acronyms_of_one_paper(spark):
     assert one(spark, "x", nx.is_initials(F.lit("gbx"), F.lit("gene bank xl"))) is True
     assert one(spark, "x", nx.is_initials(F.lit("g"), F.lit("gene bank"))) is False
+
+
+# one URL per rule, so that every branch is met whatever the inventory holds
+PROBES = {
+    "https://github.com/a/b": ("excluded_domain:github.com", "GitHub repository", "review", True),
+    "http://a.github.io/b": ("", "GitHub Pages", "review", False),
+    "https://doi.org/10.1/x": ("excluded_domain:doi.org", "DOI link", "ok", True),
+    "https://x.org/paper.pdf": ("", "", "blocked", False),
+    "ftp://ftp.x.org/y": ("ftp_protocol", "FTP server", "ok", False),
+    "http://www.ncbi.nlm.nih.gov/nuccore": ("reference_db:ncbi.nlm.nih.gov", "", "ok", False),
+    "http://lab.school.edu": ("generic_institutional:.edu", "", "ok", False),
+    "http://lab.school.edu/db": ("", "", "ok", False),
+    "https://zenodo.org/record/1": ("excluded_domain:zenodo.org", "Zenodo archive", "ok", True),
+    "http://osf.io/abc": ("excluded_domain:osf.io", "Open Science Framework", "ok", False),
+    "": ("", "", "ok", False),
+}
+
+
+def test_url_rules_one_by_one(spark):
+    from resinv.functions import urls as ux
+
+    df = spark.createDataFrame([(u,) for u in PROBES], "url string").withColumn("name", F.lit("x"))
+    got = {r[0]: tuple(r[1:]) for r in df.select("url", ux.recovery_reason("url", "name"), ux.exclusion_reason("url"), ux.triage("url"), ux.is_excluded_domain("url")).collect()}
+    assert got == PROBES
+
+
+def test_excluded_urls_are_counted_by_reason(spark):
+    from resinv.functions import urls as ux
+
+    df = spark.createDataFrame([("https://github.com/a/b|http://x.org|https://github.com/c/d",), ("NOT_FOUND",), (None,), ("ftp://ftp.x.org/y",)], "all_urls string")
+    _, reasons = ux.filter_url_list("all_urls")
+    got = {r[0]: r[1] for r in df.select(F.explode(reasons).alias("r")).groupBy("r").count().collect()}
+    assert got == {"GitHub repository": 2, "FTP server": 1}
+
+
+def test_literal_lists_and_paper_ids(spark):
+    from resinv.functions import text as fx
+
+    df = spark.createDataFrame([("['a', 'b']",), ('["it\'s", "b"]',), ("a, b",), (None,), ("PMID 12345678, 1234567 and 123456 or x12345678",)], "t string")
+    got = [tuple(r) for r in df.select(fx.literal_list("t"), fx.paper_ids("t")).collect()]
+    assert got == [(["a", "b"], []), (["it's", "b"], []), (None, []), (None, []), (None, ["12345678", "1234567"])]

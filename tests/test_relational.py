@@ -134,3 +134,29 @@ def test_profiles_from_yaml(tmp_path):
     profiles, default = load_profiles(str(p))
     assert default == "own" and profiles["balanced"]["setfit"] == 0.7 and profiles["own"]["keywords"] == ["x"] and profiles["own"]["bypass"] == 5.0
     assert load_profiles(None)[1] == "balanced"
+
+
+def test_positions_number_a_whole_table(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    assert [r.position for r in R.positions(df, ["k"]).orderBy("k").collect()] == list(range(1, 1001))
+    assert R.positions(df.limit(0), ["k"]).count() == 0
+
+
+def test_least_counts_fall_back(spark):
+    df = spark.createDataFrame([(1, 5), (3, 1)], "unique_paper_count int, total_paper_count int")
+    assert [r[0] for r in R.min_count(df, 2).collect()] == [3]
+    assert [r[0] for r in R.min_count(df.drop("unique_paper_count"), 2).collect()] == [5]
+    assert R.min_count(df.select(F.lit(1).alias("x")), 2).count() == 2
+
+
+def test_countries(spark):
+    from resinv.operators.countries import extract_countries, standard_country
+
+    c = spark.createDataFrame([(1, "United Kingdom", "GB", "GBR"), (2, "China", "CN", "CHN"), (3, "The Most Serene and Ancient Republic of the Seven Isles", "SI", "SIS")], "country_id long, name string, alpha2 string, alpha3 string")
+    t = spark.createDataFrame([(1, "Oxford, UK; the most serene and ancient republic of the seven isles"), (2, "uk and chn"), (3, None), (4, "PRC")], "k int, t string")
+    got = lambda form: {r.k: r.countries for r in extract_countries(t, "k", "t", c, form).collect()}
+    assert got("full") == {1: "The Most Serene and Ancient Republic of the Seven Isles, United Kingdom", 2: "China", 3: "", 4: "China"}
+    assert got("alpha-2")[1] == "GB, SI"
+    t = spark.createDataFrame([(1, "gbr"), (2, "kingdom"), (3, " nowhere "), (4, None), (5, "")], "k int, t string")
+    assert {r.k: r.country for r in standard_country(t, "k", "t", c, "alpha-2").collect()} == {1: "GB", 2: "GB", 3: "nowhere", 4: "", 5: ""}
+    assert standard_country(t, "k", "t", c.limit(0)).count() == 5
