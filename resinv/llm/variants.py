@@ -9,7 +9,9 @@ form, initials, tails, accents.  Rewritings are exploded into forms and joined b
   verified and the link is scored by the rarity of what both sides share - a shared row or a shared subject or
   code is rare, the bare stem alone is taken only at distance one;
 * *initial* forms join codes to the subjects they abbreviate within one stem; a form that several subjects of
-  a family produce is not rare and links nothing.
+  a family produce is not rare and links nothing;
+* *whole-name* rewritings (``rewritings``) join names of no common stem: initials of all words, sorted words,
+  words spelt out, short names in brackets.
 
 Only distinct names and their parts are shuffled, so a name that fills a third of all rows costs one row.  The
 last step works on the distinct (subject, kind, code) readings of one stem, greedily against the subjects found
@@ -26,12 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from resinv.llm.names import KINDS, SUFFIXES, read_name
+from resinv.llm.rewritings import link_classes, rewritings
 from resinv.llm.text import osa
 from resinv.operators.lineage import cut
 
 OPEN = -2  # a reading that any subject of a family could own
 _STRINGS = T.ArrayType(T.StringType())
-_PARSED = T.StructType([T.StructField(n, _STRINGS if n == "subject" else T.StringType()) for n in ("stem", "subject", "kind", "code", "flat")])
+_PARSED = T.StructType([T.StructField(n, _STRINGS if n == "subject" else T.StringType()) for n in ("stem", "subject", "kind", "code", "flat")] + [T.StructField("forms", _STRINGS)])
 
 
 @F.pandas_udf(_PARSED)
@@ -39,8 +42,8 @@ def _parse(names: pd.Series) -> pd.DataFrame:
     rows = []
     for n in names:
         p = read_name(n)
-        rows.append((p.stem, list(p.subject), p.kind, p.code, p.flat) if p and p.stem else (None, [], None, None, None))
-    return pd.DataFrame(rows, columns=["stem", "subject", "kind", "code", "flat"])
+        rows.append((p.stem, list(p.subject), p.kind, p.code, p.flat, rewritings(n)) if p and p.stem else (None, [], None, None, None, []))
+    return pd.DataFrame(rows, columns=["stem", "subject", "kind", "code", "flat", "forms"])
 
 
 @F.pandas_udf(_STRINGS)
@@ -188,6 +191,7 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     occ = occurrences.select(F.col(row_col).cast("string").alias("row"), F.col(name_col).cast("string").alias("name")).filter(F.col("name").isNotNull() & (F.trim("name") != ""))
     counted = occ.groupBy("name").agg(F.count("*").alias("n"))
     parsed = cut(counted.withColumn("p", _parse("name")).select("name", "n", "p.*").filter("stem is not null"))
+    whole = parsed.select("name", F.explode("forms").alias("form"))
 
     # 1. flat forms: short names that cannot be cut by themselves
     spelt = parsed.filter((F.size("subject") > 0) | (F.col("code") != "") | (F.col("kind") != ""))
@@ -241,9 +245,12 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     both = links.selectExpr("a as s", "b as t", "sa as ss", "sb as ts", "d", "together").unionByName(links.selectExpr("b as s", "a as t", "sb as ss", "sa as ts", "d", "together")).unionByName(cutoff)
     up = both.filter("ts > ss or (ts = ss and t < s)").groupBy("s").agg(F.max(F.struct(F.col("together").isNotNull().alias("g"), (-F.col("d")).alias("nd"), "ts", "t")).alias("m")).select("s", F.col("m.t").alias("t"))
     up = cut(up)
-    for _ in range(3):  # every step leads to a better supported stem, so chains are short and have no cycle
+    while True:  # every step leads to a better supported stem, so chains have no cycle and their length halves
         nxt = up.select(F.col("s").alias("t"), F.col("t").alias("tt"))
-        up = up.join(nxt, "t", "left").select("s", F.coalesce("tt", "t").alias("t"))
+        stepped = cut(up.join(nxt, "t", "left").select("s", F.coalesce("tt", "t").alias("t"), F.col("tt").isNotNull().alias("moved")))
+        up = stepped.select("s", "t")
+        if stepped.filter("moved").isEmpty():
+            break
     parsed = parsed.join(up.withColumnRenamed("s", "stem"), "stem", "left").select("name", "n", F.coalesce("t", "stem").alias("stem"), "subject", "kind", "code")
     parsed = cut(parsed)
 
@@ -279,8 +286,11 @@ def name_classes(occurrences: DataFrame, row_col: str = "row", name_col: str = "
     votes = ours.join(theirs, ["row", "stem"]).groupBy("name", "stem", "part").agg(F.count("*").alias("v"))
     won = votes.groupBy("name").agg(F.max(F.struct("v", (-F.col("part")).alias("np"))).alias("m")).select("name", (-F.col("m.np")).alias("won"))
     keyed = keyed.join(won, "name", "left").select("name", "stem", F.coalesce("won", "part").alias("part"))
-    w = Window.partitionBy("stem", "part")
-    return keyed.select("name", F.min("name").over(w).alias("class"))
+    least = keyed.groupBy("stem", "part").agg(F.min("name").alias("class"))
+    classes = cut(keyed.join(least, ["stem", "part"]).select("name", "class"))
+    # 4. whole-name rewritings: initials, word order, nicknames
+    linked = cut(link_classes(occ, classes, whole))
+    return linked.join(linked.groupBy("class").agg(F.min("name").alias("least")), "class").select("name", F.col("least").alias("class"))
 
 
 def as_pairs(classes: DataFrame) -> DataFrame:
