@@ -1,11 +1,12 @@
 """Mapping free-entered values to the closest entry of a reference list.
 
 Distinct values are normalised and read in a bounded number of ways (without a bracket, without a style word,
-either side of a dash ...).  A reading that spells an entry's code is taken at once; the others retrieve
-candidates from an inverted index of the list by weighted character n-grams, and every candidate is scored by
-a weighted cosine over aligned words, in which a word may be misspelt or abbreviated.  A value is accepted
-when its best entry passes the threshold and leads the next entry by the margin; else it is reported as
-unmatched (``canon_id`` 0).
+either side of a dash ...).  A reading that spells an entry's code scores 1; all readings retrieve candidates from
+an inverted index of the list by character n-grams and are scored by the weighted cosine of the n-gram vectors.
+A value is accepted when its best entry passes the threshold and leads the next entry by the margin.  The few
+values left open (cut or abbreviated words share few n-grams) are scored again by a weighted cosine over aligned
+words; what stays open after that is unmatched (``canon_id`` 0), unless one of its words spells the code of
+exactly one entry.
 
 Scale: values are deduplicated before anything is joined, so a value that holds a third of all rows costs
 one row.  The index join is an equi-join on n-grams; per reading only the n-grams up to the point where the
@@ -134,6 +135,28 @@ def aligned_cosine(value: str, entry: str, weight: dict[str, float], rare: float
     return dot / math.sqrt(nv * nc)
 
 
+_READINGS = T.ArrayType(T.StructType([T.StructField("reading", T.StringType()), T.StructField("grams", T.ArrayType(T.StringType()))]))
+
+
+@F.pandas_udf(_READINGS)
+def _read(values: pd.Series) -> pd.Series:
+    return pd.Series([[{"reading": r, "grams": grams(r)} for r in readings(v)] for v in values], dtype=object)
+
+
+@F.pandas_udf(T.StructType([T.StructField("entry", T.StringType()), T.StructField("grams", T.ArrayType(T.StringType()))]))
+def _entry(names: pd.Series) -> pd.DataFrame:
+    folded = [fold(n) for n in names]
+    return pd.DataFrame({"entry": folded, "grams": [grams(f) for f in folded]})
+
+
+def _decide(scored: DataFrame, threshold: float, margin: float) -> DataFrame:
+    """``(list, value, eid, score)`` of the values whose best entry passes the threshold and leads by the margin."""
+    w = Window.partitionBy("list", "value").orderBy(F.desc("score"), "eid")
+    two = scored.withColumn("rn", F.row_number().over(w)).filter("rn <= 2")
+    per = two.groupBy("list", "value").agg(F.max(F.when(F.col("rn") == 1, F.col("eid"))).alias("eid"), F.max("score").alias("score"), F.coalesce(F.max(F.when(F.col("rn") == 2, F.col("score"))), F.lit(0.0)).alias("next"))
+    return per.withColumn("sure", (F.col("score") >= threshold) & (F.col("next") <= F.col("score") - margin)).drop("next")
+
+
 def map_to_list(
     values: DataFrame,
     value_col: str,
@@ -141,61 +164,73 @@ def map_to_list(
     entry_id: str,
     entry_name: str,
     entry_codes: list[str],
-    threshold: float = 0.55,
-    margin: float = 0.02,
-    retrieval: float = 0.25,
+    threshold: float = 0.5,
+    margin: float = 0.05,
+    retrieval: float = 0.1,
+    checked: tuple[float, float] = (0.55, 0.02),
+    list_col: str | None = None,
 ) -> DataFrame:
     """``(value, canon_id, score)`` for every distinct non-blank value, canon_id 0 where no entry is meant.
 
     Null and blank values are dropped, nulls in the list are no entries, repeated values give one row, ties
     between entries leave the value unmatched (no margin), an empty list leaves every value unmatched, an
-    empty table gives no row.  Other columns of either table are not read.
+    empty table gives no row.  Other columns of either table are not read.  With ``list_col``, a column of both
+    tables, every value is held against the entries of its own list and the column comes first in the result.
     """
-    entry_forms = entries.select(F.col(entry_id).cast("long").alias("eid"), F.col(entry_name).alias("name"), *[F.col(c).alias(f"code{i}") for i, c in enumerate(entry_codes)]).filter(F.col("eid").isNotNull() & F.col("name").isNotNull())
-    reading_type = T.ArrayType(T.StringType())
-    read_udf = F.pandas_udf(lambda s: s.map(readings), reading_type)
-    gram_udf = F.pandas_udf(lambda s: s.map(grams), reading_type)
-    fold_udf = F.pandas_udf(lambda s: s.map(fold), T.StringType())
-
-    distinct = values.select(F.col(value_col).alias("value")).filter(F.col("value").isNotNull() & (F.trim("value") != "")).distinct()
-    read = distinct.withColumn("reading", F.explode(read_udf("value")))
-
-    listed = entry_forms.withColumn("entry", fold_udf("name")).select("eid", "entry")
-    codes = entry_forms.select("eid", F.explode(F.array(*[F.lower(F.col(f"code{i}")) for i in range(len(entry_codes))])).alias("code")).filter("code is not null and length(code) >= 2").distinct()
-    by_code = read.join(codes, read.reading == codes.code).select("value", "eid", F.lit(1.0).alias("score"))
-
-    postings = listed.withColumn("gram", F.explode(gram_udf("entry")))
-    df = postings.groupBy("gram").agg(F.countDistinct("eid").alias("df"))
-    total = listed.select("eid").distinct().count()  # of the list
-    idf = df.select("gram", F.log1p(F.lit(total) / F.col("df")).alias("w"))
-    weighted = postings.join(idf, "gram")
-    norms = weighted.groupBy("entry").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("entry_norm"))
-    index = weighted.join(norms, "entry").select("gram", "eid", "entry", "w", "entry_norm")
-
-    value_grams = read.select("reading").distinct().withColumn("gram", F.explode(gram_udf("reading")))
-    unseen = math.log1p(total)
-    vw = value_grams.join(idf, "gram", "left").withColumn("w", F.coalesce("w", F.lit(unseen)))
-    whole = Window.partitionBy("reading")
-    ordered = whole.orderBy(F.desc("w"), "gram")
-    vw = vw.select("reading", "gram", "w", F.sqrt(F.sum(F.col("w") * F.col("w")).over(whole)).alias("norm"), F.sum(F.col("w") * F.col("w")).over(ordered).alias("upto"))
+    own = F.col(list_col) if list_col else F.lit("")
+    codes_of = F.array(*[F.lower(F.trim(F.col(c).cast("string"))) for c in entry_codes]).cast("array<string>")
+    listed = entries.select(own.alias("list"), F.col(entry_id).cast("long").alias("eid"), F.col(entry_name).alias("name"), codes_of.alias("codes")).filter("eid is not null and name is not null and list is not null")
+    distinct = values.select(own.alias("list"), F.col(value_col).alias("value")).filter("value is not null and trim(value) <> '' and list is not null").distinct()
+    read = cut(distinct.withColumn("r", F.explode(_read("value"))).select("list", "value", "r.reading", "r.grams"))
+
+    listed = cut(listed.withColumn("e", _entry("name")).select("list", "eid", "codes", "e.entry", "e.grams"))
+    codes = listed.select("list", "eid", F.explode("codes").alias("code")).filter("code is not null and length(code) >= 2").distinct()
+    by_code = read.join(codes.withColumnRenamed("code", "reading"), ["list", "reading"]).select("list", "value", "eid", F.lit(1.0).alias("score"))
+
+    # weighted character n-grams: the weight of one is log(1 + entries / entries that have it), by list
+    totals = listed.groupBy("list").agg(F.countDistinct("eid").alias("total"))
+    postings = listed.select("list", "eid", F.explode("grams").alias("gram"))
+    idf = postings.groupBy("list", "gram").agg(F.countDistinct("eid").alias("df")).join(totals, "list").select("list", "gram", F.log1p(F.col("total") / F.col("df")).alias("w"))
+    vectors = listed.select("list", "eid", "entry", F.explode("grams").alias("gram")).join(idf, ["list", "gram"])
+    vectors = vectors.groupBy("list", "eid", "entry").agg(F.map_from_entries(F.collect_list(F.struct("gram", (F.col("w") * F.col("w")).alias("ww")))).alias("weights"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("entry_norm"))
+
+    once = read.select("list", "reading", "grams").distinct()
+    weighed = once.select("list", "reading", F.explode("grams").alias("gram")).join(idf, ["list", "gram"], "left").join(totals, "list").withColumn("w", F.coalesce("w", F.log1p("total")))
+    whole = Window.partitionBy("list", "reading")
+    square = F.col("w") * F.col("w")
+    weighed = weighed.select("list", "reading", "gram", square.alias("ww"), F.sum(square).over(whole).alias("norm2"), F.sum(square).over(whole.orderBy(F.desc("w"), "gram")).alias("upto"))
     # n-grams behind the point where the rest of the vector cannot reach the retrieval cosine find no new entry
-    prefix = vw.filter((F.col("norm") * F.col("norm") - F.col("upto") + F.col("w") * F.col("w")) >= (retrieval * F.col("norm")) ** 2)
-    candidates = prefix.join(index.select("gram", "eid", "entry"), "gram").select("reading", "eid", "entry").distinct()
-
-    word_weights = listed.select("eid", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).groupBy("word").agg(F.countDistinct("eid").alias("df")).select("word", F.log1p(F.lit(total) / F.col("df")).alias("w"))
-    entry_words = listed.select("eid", "entry", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).join(word_weights, "word").groupBy("eid", "entry").agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("weights"))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    prefix = weighed.filter(F.col("norm2") - F.col("upto") + F.col("ww") >= F.lit(retrieval**2) * F.col("norm2"))
+    candidates = prefix.join(postings, ["list", "gram"]).groupBy("list", "reading", "eid").agg(F.first("norm2").alias("norm2"))
+    shared = F.array_intersect("grams", F.map_keys("weights"))
+    dot = F.aggregate(shared, F.lit(0.0), lambda acc, g: acc + F.element_at("weights", g))
+    paired = candidates.join(once, ["list", "reading"]).join(vectors, ["list", "eid"])
+    cosines = paired.select("list", "reading", "eid", "entry", (dot / F.sqrt("norm2") / F.col("entry_norm")).alias("score")).filter(F.col("score") >= retrieval)
+    scored = cut(cosines.join(read.select("list", "value", "reading"), ["list", "reading"]).select("list", "value", "reading", "eid", "entry", "score"))
+    best = scored.select("list", "value", "eid", "score").unionByName(by_code).groupBy("list", "value", "eid").agg(F.max("score").alias("score"))
+    first = cut(_decide(best, threshold, margin))
+
+    # what the cosine leaves open is scored over aligned words, in which a word may be misspelt or abbreviated
+    words = listed.select("list", "eid", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).groupBy("list", "word").agg(F.countDistinct("eid").alias("df")).join(totals, "list").select("list", "word", F.log1p(F.col("total") / F.col("df")).alias("w"), F.log1p("total").alias("unseen"))
+    entry_words = listed.select("list", "eid", F.explode(F.array_distinct(F.split("entry", " "))).alias("word")).join(words, ["list", "word"]).groupBy("list", "eid").agg(F.map_from_entries(F.collect_list(F.struct("word", "w"))).alias("weights"), F.max("unseen").alias("unseen"))
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            s = [aligned_cosine(r, e, dict(w), unseen) for r, e, w in zip(pdf.reading, pdf.entry, pdf.weights)]
-            yield pd.DataFrame({"reading": pdf.reading, "eid": pdf.eid, "score": s})
+            s = [aligned_cosine(r, e, dict(w), u) for r, e, w, u in zip(pdf.reading, pdf.entry, pdf.weights, pdf.unseen)]
+            yield pd.DataFrame({"list": pdf["list"], "value": pdf["value"], "eid": pdf["eid"], "score": s})
 
-    # pairs are small but dear to score: spread them over all tasks, which their size in bytes would not
+    open_ = first.filter("not sure").select("list", "value")
+    spread = scored.join(open_, ["list", "value"], "left_semi").select("list", "value", "reading", "eid", "entry").join(entry_words, ["list", "eid"])
     tasks = max(1, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    spread = cut(candidates.join(entry_words.select("eid", "weights"), "eid").repartition(tasks, "reading"))
-    scored = spread.mapInPandas(score, "reading string, eid long, score double")
-    by_name = read.join(scored, "reading").select("value", "eid", "score")
-    best = by_code.unionByName(by_name).groupBy("value", "eid").agg(F.max("score").alias("score"))
-    ranked = best.groupBy("value").agg(F.max(F.struct("score", (-F.col("eid")).alias("neg"))).alias("top"), F.slice(F.sort_array(F.collect_list("score"), False), 1, 2).alias("two"))
-    accepted = (F.col("top.score") >= threshold) & (F.coalesce(F.try_element_at("two", F.lit(2)), F.lit(0.0)) <= F.col("top.score") - margin)
-    return distinct.join(ranked, "value", "left").select("value", F.coalesce(F.when(accepted, -F.col("top.neg")), F.lit(0)).cast("long").alias("canon_id"), F.coalesce(F.col("top.score"), F.lit(0.0)).alias("score"))
+    aligned = cut(spread.repartition(tasks, "value", "eid")).mapInPandas(align, "list string, value string, eid long, score double")
+    again = aligned.unionByName(by_code.join(open_, ["list", "value"], "left_semi")).groupBy("list", "value", "eid").agg(F.max("score").alias("score"))
+    second = _decide(again, *checked)
+    # last, a code among the words of a value that nothing else explains ("UK MRC")
+    coded = read.select("list", "value", F.explode(F.split("reading", " ")).alias("code")).filter("length(code) >= 3").join(codes, ["list", "code"])
+    coded = coded.groupBy("list", "value").agg(F.countDistinct("eid").alias("n"), F.min("eid").alias("coded")).filter("n = 1").select("list", "value", "coded")
+    f = first.select("list", "value", F.when(F.col("sure"), F.col("eid")).alias("e1"), F.col("score").alias("s1"))
+    g = second.select("list", "value", F.when(F.col("sure"), F.col("eid")).alias("e2"), F.col("score").alias("s2"))
+    out = distinct.join(f, ["list", "value"], "left").join(g, ["list", "value"], "left").join(coded, ["list", "value"], "left")
+    score = F.when(F.col("e1").isNotNull(), F.col("s1")).when(F.col("e2").isNull() & F.col("coded").isNotNull(), 1.0).otherwise(F.coalesce("s2", "s1", F.lit(0.0)))
+    named = [F.col("list").alias(list_col)] if list_col else []
+    return out.select(*named, "value", F.coalesce("e1", "e2", "coded", F.lit(0)).cast("long").alias("canon_id"), score.alias("score"))

@@ -109,31 +109,30 @@ def p3_classes(spark: SparkSession, d: str) -> DataFrame:
 _PACKED = {"affiliation_countries": "place", "grant_agencies": "organisation"}
 
 
-def _listed(spark: SparkSession, d: str) -> DataFrame:
-    """``(field, value, canon_id, score)`` of the distinct values that are not, letter for letter, an entry."""
-    values = cut(split_packed(table(spark, d, "final_inventory"), "record_num", _PACKED).groupBy("field", "value").agg(F.count("*").alias("n")))
-    out = None
-    for field, name, key, codes in (("affiliation_countries", "country_list", "country_id", ["alpha2", "alpha3"]), ("grant_agencies", "agency_list", "agency_id", ["acronym"])):
-        entries = table(spark, d, name)
-        own = values.filter(F.col("field") == field).select("value")
-        own = own.join(entries.select(F.col("name").alias("value")), "value", "left_anti")
-        mapped = map_to_list(own, "value", entries, key, "name", codes).withColumn("field", F.lit(field))
-        out = mapped if out is None else out.unionByName(mapped)
-    return out
+def _mapped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """All values with their record and position, and ``(field, value, canon_id, score)`` of the distinct values that
+    are not, letter for letter, an entry."""
+    values = cut(split_packed(table(spark, d, "final_inventory"), "record_num", _PACKED))
+    countries = table(spark, d, "country_list").select(F.lit("affiliation_countries").alias("field"), F.col("country_id").alias("id"), "name", F.col("alpha2").alias("code"), F.col("alpha3").alias("other"))
+    agencies = table(spark, d, "agency_list").select(F.lit("grant_agencies").alias("field"), F.col("agency_id").alias("id"), "name", F.col("acronym").alias("code"), F.lit(None).cast("string").alias("other"))
+    entries = countries.unionByName(agencies)
+    typed = values.select("field", "value").distinct().join(entries.select("field", F.col("name").alias("value")), ["field", "value"], "left_anti")
+    return values, map_to_list(typed, "value", entries, "id", "name", ["code", "other"], list_col="field")
 
 
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Each free-entered value that is no entry as it stands, with the entry meant, or 0."""
-    values = split_packed(table(spark, d, "final_inventory"), "record_num", _PACKED)
-    return values.join(_listed(spark, d), ["field", "value"]).select("record_num", "field", "pos", "canon_id").distinct()
+    values, mapped = _mapped(spark, d)
+    return values.join(mapped, ["field", "value"]).select("record_num", "field", "pos", "canon_id").distinct()
 
 
 @query
 def p6_unmatched(spark: SparkSession, d: str) -> DataFrame:
     """The values for which the lists have no entry, with how often they were typed."""
-    values = split_packed(table(spark, d, "final_inventory"), "record_num", _PACKED)
-    return values.join(_listed(spark, d).filter("canon_id = 0"), ["field", "value"]).groupBy("field", "value").agg(F.count("*").alias("times"), F.max("score").alias("best_score"))
+    values, mapped = _mapped(spark, d)
+    times = values.groupBy("field", "value").agg(F.count("*").alias("times"))
+    return times.join(mapped.filter("canon_id = 0"), ["field", "value"]).select("field", "value", "times", F.col("score").alias("best_score"))
 
 
 # 5. near-duplicate records
