@@ -12,9 +12,11 @@ not by its place in the language, since a language may be junk for the most part
 from __future__ import annotations
 
 import re
+import string
 import sys
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,7 +27,7 @@ from resinv.operators.lineage import cut
 _WORD = re.compile(r"[^\W_]+")
 _MARK = re.compile(r"^\s*(?:[-+*•–—·‣◦>»]+\s+|\(?\d{1,3}[.):]\)?\s+|\[\d{1,4}\]\s*|\(?[a-zA-Z][.)]\s+|[^\W\d_]{2,12}:\s+\S)")
 _LABEL = re.compile(r"^\s*(?:[\w-]+\s){0,3}[\w-]+\s*(?::|=|\.{3,}|\t)\s*\S")
-_ENDED = re.compile(r"(?<!\.\.)[.!?][\"”’»)\]]*\s*$")
+_CLOSERS = "\"”’»)]"
 _INNER_END = re.compile(r"(?<!\.\.)[.!?][\"”’»)\]]*\s+[^\W\da-z_]")
 _TEASER = re.compile(r"\.{3,}|…|>>|»|\[[^\W\d_]{2,10}\]")
 _GAP = re.compile(r"\S\s{3,}\S")
@@ -38,6 +40,7 @@ LEARNT = 10
 STATISTICS = ("words", "mean_word", "symbol_ratio", "digit_ratio", "ended_lines", "common_words", *SHARES, "not_prose")
 
 
+@lru_cache(1 << 17)
 def shape(word: str) -> str:
     """The word with its digits made alike: numbers and codes are each one word to the counts."""
     return "#" if word.isdigit() else "g#" if any(c.isdigit() for c in word) else word
@@ -47,8 +50,34 @@ def _shapes(text: str) -> list[str]:
     return [shape(w) for w in _WORD.findall(text.lower())]
 
 
+def _ended(text: str) -> bool:
+    """Whether a text ends with a sentence: a mark, perhaps closing quotes or brackets, but no dots cut short."""
+    t = text.rstrip().rstrip(_CLOSERS)
+    return t[-1:] in (".", "!", "?") and not t[:-1].endswith("..")
+
+
 def _solid(text: str) -> int:
-    return sum(not c.isspace() for c in text)
+    return len("".join(text.split()))
+
+
+_DIGITS, _UPPER, _LOWER = string.digits.encode(), string.ascii_uppercase.encode(), string.ascii_lowercase.encode()
+_OTHER = re.compile(r"[^\x00-\x7f]")
+
+
+def _kinds(text: str) -> tuple[int, int, int, int]:
+    """How many characters of a text are digits, upper-case letters, letters, and letters or digits."""
+    plain = text.encode("ascii", "ignore")
+    n = len(plain)
+    digits, upper = n - len(plain.translate(None, _DIGITS)), n - len(plain.translate(None, _UPPER))
+    letters = upper + n - len(plain.translate(None, _LOWER))
+    both = letters + digits
+    if n < len(text):
+        for c in _OTHER.findall(text):
+            digits += c.isdigit()
+            upper += c.isupper()
+            letters += c.isalpha()
+            both += c.isalnum()
+    return digits, upper, letters, both
 
 
 def units(text: str) -> list[tuple[str, str]]:
@@ -57,26 +86,26 @@ def units(text: str) -> list[tuple[str, str]]:
     cut: list[bool] = []
     pieces: list[str] = []
     for x in lines:  # teasers: beginnings of sentences strung together
-        n = len(_TEASER.findall(x))
+        n = len(_TEASER.findall(x)) if "..." in x or "…" in x or ">>" in x or "»" in x or "[" in x else 0
         teased = n >= 3 and "\t" not in x and len(x.split()) < 9 * n
         for p in _TEASER.split(x) if teased else [x]:
             if p.strip():
                 pieces.append(p)
                 cut.append(teased)
     lines = pieces
-    letters = sum(c.isalpha() for c in text)
-    upper = sum(c.isupper() for c in text) > 0.6 * max(1, letters)
+    _, capitals, letters, _ = _kinds(text)
+    upper = capitals > 0.6 * max(1, letters)
     width = max((len(x.rstrip()) for x in lines), default=0)
     counts = [[x.count(c) for c in _DELIMITERS] for x in lines]
-    labels = sum(bool(_LABEL.match(x)) and not _ENDED.search(x) for x in lines) >= 3
+    labels = sum(bool(_LABEL.match(x)) and not _ended(x) for x in lines) >= 3
     full = lambda a, b: len(a.rstrip()) + 1 + len(b.split(maxsplit=1)[0]) > width and len(a.split()) >= 3
-    open_ends = [full(a, b) for a, b in zip(lines, lines[1:]) if not _ENDED.search(a)]
+    open_ends = [full(a, b) for a, b in zip(lines, lines[1:]) if not _ended(a)]
     wraps = 20 <= width <= 130 and sum(open_ends) >= 0.7 * len(open_ends)
     out: list[list[str]] = []
     before = None
     for i, line in enumerate(lines):
         s = line.strip()
-        ended = bool(_ENDED.search(s))
+        ended = _ended(s)
         near = [k for k in range(max(0, i - 2), min(len(lines), i + 3)) if k != i]
         table = not ended and any(c >= 2 and sum(counts[k][j] == c for k in near) >= 2 for j, c in enumerate(counts[i]))
         if table or _GAP.search(line):
@@ -89,7 +118,7 @@ def units(text: str) -> list[tuple[str, str]]:
             structure = "fragments" if cut[i] else ""
         wrapped = before is not None and wraps and full(before, line)
         follows = s[0].islower() or (upper and before is not None and before == before.upper()) or s[0].isdigit() or s[0] in '("'
-        if out and not structure and not _ENDED.search(out[-1][0]) and ((out[-1][1] == "" and (follows or wrapped)) or (out[-1][1] == "list_items" and wrapped)):
+        if out and not structure and not _ended(out[-1][0]) and ((out[-1][1] == "" and (follows or wrapped)) or (out[-1][1] == "list_items" and wrapped)):
             out[-1][0] += " " + s
         else:
             out.append([s, structure])
@@ -101,18 +130,17 @@ def judge(unit: str, structure: str, words: set[str] | None, pairs: set[tuple[st
     """In which of the SHARES ways the unit is not prose; '' if it is.  Without words (None) only its form counts."""
     w = _shapes(unit)
     plain = [x for x in w if x not in ("#", "g#")]
-    if not w or (words is not None and sum(x in words for x in plain) < 0.6 * len(plain)):
+    if not w or (words is not None and sum(map(words.__contains__, plain)) < 0.6 * len(plain)):
         return "alien_words"
-    if words is not None and len(w) >= 4 and sum(p in pairs for p in zip(w, w[1:])) < 0.45 * (len(w) - 1):
+    if words is not None and len(w) >= 4 and sum(map(pairs.__contains__, zip(w, w[1:]))) < 0.45 * (len(w) - 1):
         return "alien_order"
     coded = len(w) - len(plain)
     if coded > 0.5 * len(w) and (len(w) - coded < 5 or coded > 0.85 * len(w)):
         return "codes"
-    ended = bool(_ENDED.search(unit))
-    sentences = bool(_INNER_END.search(unit))
-    if structure and not (ended and len(w) >= 8) and not (sentences and len(w) >= 15):
+    ended = _ended(unit)
+    if structure and not (ended and len(w) >= 8) and not (len(w) >= 15 and _INNER_END.search(unit)):
         return structure
-    if not ended and len(w) < 15 and not sentences and (len(w) < 6 or not unit[0].islower()):
+    if not ended and len(w) < 15 and (len(w) < 6 or not unit[0].islower()) and not _INNER_END.search(unit):
         return "fragments"
     return ""
 
@@ -140,10 +168,11 @@ def statistics(text: str | None, words: set[str] | None, pairs: set[tuple[str, s
     out["not_prose"] = max(1 - shares[""] / max(1, total), repeats)
     out["words"] = float(len(low))
     out["mean_word"] = sum(map(len, low)) / max(1, len(low))
-    out["symbol_ratio"] = sum(not c.isalnum() and not c.isspace() for c in text) / solid
-    out["digit_ratio"] = sum(c.isdigit() for c in text) / solid
-    out["ended_lines"] = sum(bool(_ENDED.search(x)) for x in lines) / max(1, len(lines))
-    out["common_words"] = sum(shape(x) in words for x in low) / max(1, len(low)) if words is not None else 0.0
+    digits, _, _, both = _kinds(text)
+    out["symbol_ratio"] = (solid - both) / solid
+    out["digit_ratio"] = digits / solid
+    out["ended_lines"] = sum(_ended(x) for x in lines) / max(1, len(lines))
+    out["common_words"] = sum(map(words.__contains__, map(shape, low))) / max(1, len(low)) if words is not None else 0.0
     return out
 
 
