@@ -156,8 +156,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def p5_groups(spark: SparkSession, d: str) -> DataFrame:
-    """One row per paper with near duplicates: its group and its number of direct links (similarity over 0.8)."""
-    links, members = similar_sets(_paper_sets(spark, d), "id", "words", (8, 10))
+    """One row per paper with near duplicates: its group and its number of direct links (similarity over 0.7)."""
+    links, members = similar_sets(_paper_sets(spark, d), "id", "words", (7, 10))
     links, members = cut(links), cut(members)
     weight = members.groupBy("rep").agg(F.countDistinct("id").alias("ids"))
     groups = components(links)
