@@ -173,5 +173,5 @@ def leaked_windows(
         return pairs.filter("iw = dw").select("item_id", "item_pos", "doc_id", "doc_pos", F.lit(0).alias("edits")).distinct()
     # every word of the one window that the other lacks costs an edit: most pairs end here, in the JVM
     pairs = pairs.filter(F.size(F.array_except("iw", "dw")) <= max_edits)
-    once = pairs.groupBy("item_id", "item_pos", "doc_id", "doc_pos").agg(F.first("iw").alias("iw"), F.first("dw").alias("dw"))
+    once = pairs.groupBy("item_id", "item_pos", "doc_id", "doc_pos").agg(F.min(F.struct("iw", "dw")).alias("w")).select("item_id", "item_pos", "doc_id", "doc_pos", "w.*")
     return once.withColumn("edits", _edit_distance("iw", "dw")).filter(F.col("edits") <= max_edits).select("item_id", "item_pos", "doc_id", "doc_pos", "edits")

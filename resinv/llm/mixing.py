@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from resinv.operators.lineage import cut
 
 TOKENIZERS = "/opt/tokenizers"
-RANGES = 64
+RANGE_SIZE = 200_000
 
 _encoders: dict[str, object] = {}
 
@@ -52,8 +52,7 @@ def token_counts(documents: DataFrame, text_col: str, tokenizer: str = f"{TOKENI
         encoder = _encoder(tokenizer, PATTERN)
         for pdf in batches:
             out = pdf[others].copy()
-            # a very long run without a break costs more than linear time, so runs are cut at line ends first
-            out["tokens"] = [sum(len(encoder.encode_ordinary(p)) for p in t.splitlines(keepends=True)) if t else 0 for t in pdf[text_col].where(pdf[text_col].notna(), "")]
+            out["tokens"] = [len(encoder.encode_ordinary(t)) if t else 0 for t in pdf[text_col].where(pdf[text_col].notna(), "")]
             yield out
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name != text_col)
@@ -99,9 +98,10 @@ def mix(
     if len(goals) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
     docs = documents.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(tokens_col).cast("long").alias("tokens")).filter("id is not null and source is not null and tokens > 0")
-    docs = docs.groupBy("id").agg(F.min("source").alias("source"), F.max("tokens").alias("tokens"))
-    docs = docs.withColumn("h", F.xxhash64(F.lit(seed), "id")).withColumn("range", F.pmod(F.shiftrightunsigned("h", 32), F.lit(RANGES)).cast("int"))
+    docs = docs.groupBy("id").agg(F.min(F.struct("source", "tokens")).alias("x")).select("id", "x.*")
     docs = cut(docs.join(F.broadcast(targets.select("source").filter("source is not null").distinct()), "source"))  # as many as goals
+    ranges = max(1, -(-docs.count() // RANGE_SIZE))
+    docs = docs.withColumn("h", F.xxhash64(F.lit(seed), "id")).withColumn("range", F.pmod(F.shiftrightunsigned("h", 32), F.lit(ranges)).cast("int"))
     per = docs.groupBy("source", "range").agg(F.sum("tokens").alias("size"))
     sizes = per.groupBy("source").agg(F.sum("size").alias("stock")).collect()
     stock = {r.source: r.stock for r in sizes}
@@ -113,15 +113,19 @@ def mix(
     block = max(1, int(largest / (blocks * shards)))
     quota = apportion(share, blocks)
     spark = documents.sparkSession
-    plan = [(s, share[s] / total, stock[s], min(quota[s] * block * shards, stock[s] * cap[s]), cap[s]) for s in share]
-    plan_df = spark.createDataFrame(plan, "source string, target double, stock long, quota long, cap int")
+    plan = [(s, share[s] / total, stock[s], quota[s], cap[s]) for s in share]
+    plan_df = spark.createDataFrame(plan, "source string, target double, stock long, quota int, cap int")
+    # a shard takes as many blocks in a row as its quota; a seed draws which run goes to which shard
+    runs = plan_df.filter("quota > 0").select("source", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("run"))
+    drawn = F.row_number().over(Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "run"), "run")) - 1
+    chosen = runs.select("source", F.col("run").cast("long").alias("run"), drawn.cast("int").alias("shard"))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per.select("source", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))  # RANGES rows a source
+    starts = per.select("source", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("source", "range").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0)
-    placed = docs.withColumn("upto", F.sum("tokens").over(inside)).join(F.broadcast(starts), ["source", "range"]).join(F.broadcast(plan_df), "source")
-    middle = F.col("before") + F.col("upto") - F.col("tokens") / 2.0  # a document belongs where its middle falls
-    uses = placed.withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("cap") - 1))).withColumn("at", F.col("pass") * F.col("stock") + middle).filter("at < quota")
-    uses = uses.withColumn("shard", F.least(F.floor(F.col("at") * shards / F.col("quota")), F.lit(shards - 1)).cast("int"))
+    placed = docs.withColumn("upto", F.sum("tokens").over(inside)).join(starts, ["source", "range"]).join(F.broadcast(plan_df), "source")
+    middle = F.col("before") + F.col("upto") - F.col("tokens") / 2.0
+    uses = placed.withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("cap") - 1))).withColumn("block", F.floor((F.col("pass") * F.col("stock") + middle) / block))
+    uses = uses.filter("quota > 0").withColumn("run", F.floor(F.col("block") / F.col("quota"))).join(F.broadcast(chosen), ["source", "run"])  # shards rows a source
     mixture = uses.groupBy("id", "source", "shard", "tokens").agg(F.count("*").cast("int").alias("times"))
     used = mixture.groupBy("source").agg(F.sum(F.col("tokens") * F.col("times")).alias("used"))
     most = mixture.groupBy("source", "id").agg(F.sum("times").alias("t")).groupBy("source").agg(F.max("t").cast("int").alias("repeats"))

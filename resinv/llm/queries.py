@@ -212,7 +212,8 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
 def p4_ranking(spark: SparkSession, d: str) -> DataFrame:
     """The papers of the union by robust rank aggregation of their four scores."""
     union = table(spark, d, "union_papers_with_primary_resources").select("pmid", "ling_score", "setfit_confidence", "primary_score")
-    scans = table(spark, d, "papers_with_scanner_scores").groupBy("pmid").agg(F.max("url_scanner_score").alias("url_scanner_score"))
+    # of several scans the latest counts, as everywhere
+    scans = table(spark, d, "papers_with_scanner_scores").groupBy("pmid").agg(F.max(F.struct("scanned_at", "url_scanner_score"))["url_scanner_score"].alias("url_scanner_score"))
     papers = union.join(scans, "pmid", "left")
     return rank_aggregate(papers, "pmid", ["ling_score", "setfit_confidence", "primary_score", "url_scanner_score"])
 
@@ -229,13 +230,14 @@ def _rank_sql() -> str:
             looks.append("(" + " + ".join(terms) + ")")
         branches.append(f"WHEN {n} THEN least(1.0, {n} * least({', '.join(looks)}))")
     return f"""
-WITH scans AS (SELECT pmid, max(url_scanner_score) AS url_scanner_score FROM papers_with_scanner_scores GROUP BY pmid),
+WITH scans AS (SELECT pmid, url_scanner_score FROM (SELECT pmid, url_scanner_score, row_number() OVER (PARTITION BY pmid ORDER BY scanned_at DESC NULLS LAST, url_scanner_score DESC NULLS LAST) AS rn
+           FROM papers_with_scanner_scores) WHERE rn = 1),
 papers AS (SELECT u.pmid, ling_score, setfit_confidence, primary_score, url_scanner_score
            FROM union_papers_with_primary_resources u LEFT JOIN scans USING (pmid)),
 ranks AS (SELECT pmid, {", ".join(ranks)} FROM papers),
 lists AS (SELECT pmid, list_sort(list_filter([r0, r1, r2, r3], lambda x: x IS NOT NULL)) AS r FROM ranks),
 rhos AS (SELECT pmid, CAST(len(r) AS INTEGER) AS scored,
-                round(CAST(CASE len(r) {" ".join(branches)} ELSE 1.0 END AS DOUBLE), 12) AS rho FROM lists)
+                CAST(printf('%.9e', CAST(CASE len(r) {" ".join(branches)} ELSE 1.0 END AS DOUBLE)) AS DOUBLE) AS rho FROM lists)
 SELECT pmid, scored, rho, rank() OVER (ORDER BY rho) AS rank FROM rhos"""
 
 
@@ -270,6 +272,17 @@ WITH s AS (SELECT DISTINCT id, list_sort(list_distinct({_W.format("coalesce(titl
            FROM papers_metadata WHERE trim(coalesce(id, '')) <> ''),
 p AS (SELECT a.id AS id_a, b.id AS id_b, len(list_intersect(a.w, b.w)) AS i, len(a.w) + len(b.w) AS n FROM s a JOIN s b ON a.id < b.id)
 SELECT DISTINCT id_a, id_b FROM p WHERE 10 * i > 7 * (n - i)"""
+SQL["p5_groups"] = f"""
+WITH RECURSIVE s AS (SELECT DISTINCT id, list_sort(list_distinct({_W.format("coalesce(title, '') || ' ' || coalesce(abstract, '')")})) AS w
+                     FROM papers_metadata WHERE trim(coalesce(id, '')) <> ''),
+t AS (SELECT id, w, len(w) AS n FROM s WHERE len(w) > 0),
+p AS (SELECT a.id AS x, a.w AS wx, b.id AS y FROM t a JOIN t b ON (a.id <> b.id OR a.w <> b.w) AND 10 * least(a.n, b.n) >= 7 * greatest(a.n, b.n)
+      WHERE 10 * len(list_intersect(a.w, b.w)) > 7 * (a.n + b.n - len(list_intersect(a.w, b.w)))),
+e AS (SELECT DISTINCT x, y FROM p WHERE x <> y),
+r AS (SELECT DISTINCT x AS id, x AS root FROM e UNION SELECT e.y, r.root FROM r JOIN e ON e.x = r.id),
+g AS (SELECT id, min(root) AS group_id FROM r GROUP BY id),
+l AS (SELECT x AS id, max(n) AS links FROM (SELECT x, wx, count(*) AS n FROM p GROUP BY x, wx) GROUP BY x)
+SELECT l.id, coalesce(group_id, l.id) AS group_id, links FROM l LEFT JOIN g USING (id)"""
 SQL["p7_found"] = f"""
 WITH d0 AS (SELECT doc_id, {_W.format("coalesce(text, '')")} AS w FROM documents), i0 AS (SELECT item_id, {_W.format("coalesce(text, '')")} AS w FROM eval_items),
 d1 AS (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS p FROM d0), i1 AS (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS p FROM i0),

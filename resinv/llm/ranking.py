@@ -22,21 +22,32 @@ from pyspark.sql import functions as F
 from resinv.operators.lineage import cut
 
 
-def mean_ranks(items: DataFrame, key: str, score: str, partitions: int | None = None) -> DataFrame:
-    """``(value, r)``: for each distinct score the mean rank of its items over the number of scored items.
+def _before(parts: DataFrame, *keys: str) -> DataFrame:
+    """With ``before``: the sizes of the ranges before each range, one row per range."""
+    order = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
+
+
+def mean_ranks(items: DataFrame, scores: list[str]) -> DataFrame:
+    """``(score, value, r)``: for each distinct value of each score (by number) the mean rank of its items over the
+    number of scored items.
 
     Nulls and NaN are no scores.  All items of one value share one row, so a hot value is one row.
     """
-    n = partitions or max(1, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    values = items.select(F.col(score).cast("double").alias("value")).filter("value is not null and not isnan(value)").groupBy("value").agg(F.count("*").alias("c"))
-    placed = cut(values.repartitionByRange(n, F.desc("value")).withColumn("part", F.spark_partition_id()))
-    parts = placed.groupBy("part").agg(F.sum("c").alias("size"))  # one row per range
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.select("part", F.coalesce(F.sum("size").over(order), F.lit(0)).alias("before"), F.sum("size").over(Window.partitionBy(F.lit(1))).alias("total"))
-    within = Window.partitionBy("part").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0)
+    pairs = F.array(*[F.struct(F.lit(i).alias("score"), F.col(s).cast("double").alias("value")) for i, s in enumerate(scores)])
+    values = items.select(F.explode(pairs).alias("x")).select("x.*").filter("value is not null and not isnan(value)").groupBy("score", "value").agg(F.count("*").alias("c"))
+    placed = cut(values.repartitionByRange("score", F.desc("value")).withColumn("part", F.spark_partition_id()))
+    parts = placed.groupBy("score", "part").agg(F.sum("c").alias("size"))
+    starts = _before(parts, "score").withColumn("total", F.sum("size").over(Window.partitionBy("score")))
+    within = Window.partitionBy("score", "part").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0)
     running = placed.withColumn("upto", F.sum("c").over(within))
     r = (F.col("before") + F.col("upto") - F.col("c") + (F.col("c") + 1) / 2.0) / F.col("total")
-    return running.join(F.broadcast(starts), "part").select("value", r.alias("r"))
+    return running.join(starts.drop("size"), ["score", "part"]).select("score", "value", r.alias("r"))
+
+
+def significant(x: Column, digits: int = 10) -> Column:
+    """A number rounded to so many significant digits, so that equal sums of different order stay equal."""
+    return F.format_string(f"%.{digits - 1}e", x).cast("double")
 
 
 def beta_order(x: Column, k: int, n: int) -> Column:
@@ -54,9 +65,12 @@ def rank_aggregate(items: DataFrame, key: str, scores: list[str]) -> DataFrame:
     """
     narrow = items.select(F.col(key).alias("key"), *[F.col(s).cast("double").alias(f"s{i}") for i, s in enumerate(scores)])
     out = narrow
+    ranks = cut(mean_ranks(narrow, [f"s{i}" for i in range(len(scores))]))
     for i in range(len(scores)):
-        ranks = mean_ranks(narrow, "key", f"s{i}").select(F.col("value").alias(f"s{i}"), F.col("r").alias(f"r{i}"))
-        out = out.join(ranks, f"s{i}", "left")
+        # items without the score go past the join, so that nulls make no hot key; adaptive execution splits hot values
+        own = ranks.filter(F.col("score") == i).select(F.col("value").alias(f"s{i}"), F.col("r").alias(f"r{i}"))
+        has = F.col(f"s{i}").isNotNull() & ~F.isnan(f"s{i}")
+        out = out.filter(has).join(own, f"s{i}").unionByName(out.filter(~F.coalesce(has, F.lit(False))).withColumn(f"r{i}", F.lit(None).cast("double")))
     r = F.array_sort(F.array_compact(F.array(*[F.col(f"r{i}") for i in range(len(scores))])))
     out = out.withColumn("r", r).withColumn("scored", F.size("r"))
     rho = F.lit(1.0)
@@ -64,11 +78,10 @@ def rank_aggregate(items: DataFrame, key: str, scores: list[str]) -> DataFrame:
         looks = [beta_order(F.element_at("r", k), k, n) for k in range(1, n + 1)]
         least = looks[0] if n == 1 else F.least(*looks)
         rho = F.when(F.col("scored") == n, F.least(F.lit(1.0), n * least)).otherwise(rho)
-    scored = cut(out.select("key", "scored", F.round(rho, 12).alias("rho")))
+    scored = cut(out.select("key", "scored", significant(rho).alias("rho")))
     places = scored.groupBy("rho").agg(F.count("*").alias("c"))
-    n = max(1, int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = cut(places.repartitionByRange(n, "rho").withColumn("part", F.spark_partition_id()))
-    starts = placed.groupBy("part").agg(F.sum("c").alias("size")).select("part", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    placed = cut(places.repartitionByRange("rho").withColumn("part", F.spark_partition_id()))
+    starts = _before(placed.groupBy("part").agg(F.sum("c").alias("size")))  # one row per range
     upto = F.sum("c").over(Window.partitionBy("part").orderBy("rho").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = placed.withColumn("upto", upto).join(F.broadcast(starts), "part").select("rho", (F.col("before") + F.col("upto") - F.col("c") + 1).alias("rank"))
+    ranked = placed.withColumn("upto", upto).join(starts.drop("size"), "part").select("rho", (F.col("before") + F.col("upto") - F.col("c") + 1).alias("rank"))
     return scored.join(ranked, "rho").select(F.col("key").alias(key), "scored", "rho", "rank")

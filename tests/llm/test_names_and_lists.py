@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from resinv.llm.canonical import aligned_cosine, map_to_list, readings
 from resinv.llm.names import read_name
 from resinv.llm.resources import readable_date, url_alias, url_host
+from resinv.llm.rewritings import rewritings
 from resinv.llm.survivors import Bundle, Dependency, best_bundles, branch_and_bound
 from resinv.llm.variants import as_pairs, classes_of_stem, deletions, name_classes
 
@@ -151,3 +152,83 @@ def test_a_hot_group_has_one_candidate_a_bundle(spark):
     df = spark.range(30_000).selectExpr("if(id % 3 = 0, 1, id) as g", "id as r", "concat('n', id) as name", "id / 1e6 as p")
     out = best_bundles(df, "g", "r", [Bundle("name", ("name",), F.col("name").isNotNull(), (F.col("p"),))])
     assert [tuple(r) for r in out.filter("g = 1").collect()] == [(1, "name", 29_997)]
+
+REAL = [
+    ("GEO", "Gene Expression Omnibus"), ("NCBI GEO data", "Gene Expression Omnibus (GEO)"), ("PDB", "Protein Data Bank"), ("x", "The Protein Data Bank"), ("KEGG", "Kyoto Encyclopedia of Genes and Genomes"),
+    ("HPA", "Human Protein Atlas"), ("HMDB", "Human Metabolome Database"), ("SGD", "Saccharomyces Genome Database"), ("MGI", "Mouse Genome Informatics"), ("ENA", "European Nucleotide Archive"),
+    ("NCBI", "Natl Center for Biotechnology Information"), ("NCBI", "National Center for Biotechnology Information"), ("GO", "Gene Ontology"), ("TCGA", "The Cancer Genome Atlas"),
+]
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_acronyms_of_real_names(spark, apart):
+    """Long and short names of one resource meet, whether a row holds both or none does."""
+    pairs = [p for p in REAL if p[0] not in ("x", "NCBI GEO data") and not (apart and p[0] in ("NCBI", "GO"))]
+    lines = [(f"r{i}", n) for i, p in enumerate(REAL) for n in p]
+    if apart:
+        lines = [(f"l{i}", n) for i, (_, n) in enumerate(lines)]
+    got = {r.name: r["class"] for r in name_classes(spark.createDataFrame(lines, "row string, name string")).collect()}
+    assert all(got[a] == got[b] for a, b in pairs)
+    assert got["Gene Expression Omnibus"] == got["Gene Expression Omnibus (GEO)"] and got["Protein Data Bank"] == got["The Protein Data Bank"]
+    longs = {got[b] for _, b in pairs if "(" not in b and not b.startswith("Natl")}
+    assert len(longs) == len({b for _, b in pairs if "(" not in b and not b.startswith("Natl")})
+
+
+def test_an_acronym_of_two_resources_needs_a_row(spark):
+    lines = [("1", "Small Genome Database"), ("2", "Sheep Gene Directory"), ("3", "SGD")]
+    got = {r.name: r["class"] for r in name_classes(spark.createDataFrame(lines, "row string, name string")).collect()}
+    assert len(set(got.values())) == 3
+    got = {r.name: r["class"] for r in name_classes(spark.createDataFrame([*lines, ("2", "SGD")], "row string, name string")).collect()}
+    assert got["SGD"] == got["Sheep Gene Directory"] != got["Small Genome Database"]
+
+
+def test_rewritings():
+    assert "o:expression gene omnibus" in rewritings("Omnibus of Gene Expression") and "i:geo" in rewritings("Gene Expression Omnibus")
+    assert {"i:hmdb", "b:hmdb"} <= set(rewritings("Human Metabolome Database (HMDB)"))
+    assert rewritings(None) == rewritings("  ") == [] and rewritings("KEGG") == ["s:kegg"]
+
+
+def test_long_chains_of_misspelt_stems_are_followed(spark):
+    stem = "abcdefghijklmnopqrst"
+    names = [stem]
+    for i in range(len(stem) - 1):  # each differs from the one before in one letter
+        names.append(names[-1][:i] + "z" + names[-1][i + 1 :])
+    lines = [(f"{i}-{k}", f"{n.capitalize()} Disease Portal") for i, n in enumerate(names) for k in range(40 - i)]
+    got = {r["class"] for r in name_classes(spark.createDataFrame(lines, "row string, name string")).collect()}
+    assert len(got) == 1
+
+
+def test_values_are_decided_by_cosine_then_words_then_codes(spark):
+    entries = spark.createDataFrame([(1, "Medical Research Council", "MRC"), (2, "National Institutes of Health", "NIH"), (3, "National Science Foundation", "NSF"), (4, "Wellcome Trust", None)], "i long, name string, code string")
+    wanted = {"UK MRC": 1, "nsf grant 1234": 3, "Natl. Sci. Found.": 3, "welcome trust": 4, "Medical Res Council": 1, "none declared": 0, "MRC/NIH": 0}
+    got = {r.value: r.canon_id for r in map_to_list(spark.createDataFrame([(v,) for v in wanted], "value string"), "value", entries, "i", "name", ["code"]).collect()}
+    assert got == wanted
+
+
+def test_retrieval_finds_what_scoring_all_pairs_finds(spark):
+    """Every entry at or above the retrieval cosine is scored: the prefix bound loses none."""
+    import math
+    import random
+
+    from resinv.llm.canonical import grams
+
+    r = random.Random(3)
+    syllables = ["ka", "fu", "ru", "lon", "ti", "bre", "so", "mi", "tar", "vel"]
+    name = lambda: " ".join("".join(r.choice(syllables) for _ in range(3)) for _ in range(3))
+    listed = [name() for _ in range(40)]
+    typed = sorted({"".join(c for c in x if r.random() > 0.15) for x in listed for _ in range(3)})
+    df = {}
+    for x in listed:
+        for g in grams(x):
+            df[g] = df.get(g, 0) + 1
+    w = lambda g: math.log1p(40 / df[g]) if g in df else math.log1p(40)
+    norm = lambda gs: math.sqrt(sum(w(g) ** 2 for g in gs))
+    cosine = lambda a, b: sum(w(g) ** 2 for g in set(grams(a)) & set(grams(b))) / norm(grams(a)) / norm(grams(b))
+    truth = {}
+    for v in typed:
+        best = sorted(((cosine(v, x), -i) for i, x in enumerate(listed)), reverse=True)
+        if best[0][0] >= 0.5 and best[1][0] <= best[0][0] - 0.05:
+            truth[v] = -best[0][1]
+    entries = spark.createDataFrame([(i, x) for i, x in enumerate(listed)], "i long, name string").withColumn("code", F.lit(None).cast("string"))
+    got = {r.value: r.canon_id for r in map_to_list(spark.createDataFrame([(v,) for v in typed], "value string"), "value", entries, "i", "name", ["code"]).collect()}
+    assert len(truth) > 60 and all(got[v] == i for v, i in truth.items())

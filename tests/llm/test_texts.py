@@ -69,6 +69,24 @@ def test_similar_sets_against_brute_force(spark):
     assert nothing.count() == none.count() == 0
 
 
+def test_similar_sets_in_a_hot_group(spark):
+    """300 texts of one page that differ by one word each: every pair is found, though all share their keys."""
+    base = [f"h{i}" for i in range(60)]
+    texts = [(f"{i:03d}", " ".join(base[: i % 60] + [f"own{i}"] + base[i % 60 + 1 :])) for i in range(300)]
+    links, members = similar_sets(spark.createDataFrame(texts, "id string, t string").withColumn("words", word_set("t")), "id", "words")
+    assert members.count() == 300 and links.select("a", "b").distinct().count() == links.count() == 300 * 299 // 2
+
+
+@pytest.mark.parametrize("share", [0.05, 0.3, 0.6])
+def test_junk_of_any_share_is_found(spark, share):
+    good, _ = corpus()
+    prose = [(i, t, "en") for i, t in good[:200]]
+    n = int(share * len(prose) / (1 - share))
+    lists = [(5000 + k, "\n".join(f"- {w} {w[0].upper()}{k}{i}" for i, w in enumerate(["genes", "maps", "cells"] * 9)), "en") for k in range(n)]
+    got = {r.doc_id for r in quality(spark.createDataFrame(prose + lists, "doc_id long, text string, lang string")).filter("not prose").collect()}
+    assert got == {i for i, *_ in lists}
+
+
 def test_word_set_of_null_and_long_text(spark):
     df = spark.createDataFrame([(None,), ("",), ("B b a1_Ä " * 20_000,)], "t string")
     assert [r[0] for r in df.select(word_set("t")).collect()] == [[], [], ["a1", "b", "ä"]]
