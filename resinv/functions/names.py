@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,3 +138,12 @@ def containment(shorter: Column, longer: Column) -> Column:
         .when(is_initials(shorter, longer), 0.7)
         .otherwise(0.3)
     )
+
+
+def disambiguate(df: DataFrame, name: str, flags: str, subdomain: str) -> DataFrame:
+    """Names that several rows have get their sub-domain behind them, where it says something else, and a flag."""
+    sizes = df.groupBy(name).agg(F.count("*").alias("_c"))
+    d = df.join(sizes, name)
+    take = (F.col("_c") > 1) & (F.col(subdomain) != "") & (F.lower(subdomain) != F.lower(name))
+    flag = F.when(filled(flags) != "", F.concat(F.col(flags), F.lit(",DISAMBIGUATED"))).otherwise("DISAMBIGUATED")
+    return d.withColumns({name: F.when(take, F.concat(name, F.lit(" ("), subdomain, F.lit(")"))).otherwise(F.col(name)), flags: F.when(take, flag).otherwise(filled(flags))}).drop("_c")

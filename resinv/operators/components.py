@@ -13,7 +13,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 5
 
     Nulls and links of a node to itself are ignored, repeated links count once, no links give no row.  Each
     round replaces links by links to smaller neighbours, so no node's neighbours are ever collected; the
-    number of rounds grows with the logarithm of the longest path.
+    number of rounds grows with the logarithm of the longest path; more than ``max_rounds`` raise an error.
     """
     e = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u is not null and v is not null and u <> v")
     e = cut(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
@@ -32,4 +32,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 5
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"no end after {max_rounds} rounds")
     return e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()).groupBy("node").agg(F.min("component").alias("component"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from resinv.functions import fixed as X
@@ -219,11 +219,7 @@ SELECT record_num, CASE WHEN t THEN n || ' (' || s || ')' ELSE n END AS best_nam
 def name_disambiguate(spark: SparkSession, d: str) -> DataFrame:
     """Records of one name told apart by their sub-domain."""
     f = table(spark, d, "final_inventory").select("record_num", fx.filled("best_name").alias("n"), fx.filled("name_modification_flags").alias("f"), nx.subdomain_of("extracted_url").alias("s"))
-    sizes = f.groupBy("n").agg(F.count("*").alias("c"))
-    f = f.join(sizes, "n")
-    take = (F.col("c") > 1) & (F.col("s") != "") & (F.lower("s") != F.lower("n"))
-    flag = F.when(F.col("f") != "", F.concat(F.col("f"), F.lit(",DISAMBIGUATED"))).otherwise("DISAMBIGUATED")
-    return f.select("record_num", F.when(take, F.concat("n", F.lit(" ("), "s", F.lit(")"))).otherwise(F.col("n")).alias("best_name"), F.when(take, flag).otherwise(F.col("f")).alias("name_modification_flags"))
+    return nx.disambiguate(f, "n", "f", "s").select("record_num", F.col("n").alias("best_name"), F.col("f").alias("name_modification_flags"))
 
 
 _CASED = "array_to_string(list_transform(regexp_split_to_array(trim(n), '\\s+'), lambda w: CASE WHEN w = lower(w) AND regexp_matches(w, '[a-z]') THEN upper(w[1]) || w[2:] ELSE w END), ' ')"
@@ -260,12 +256,15 @@ def metadata_aggregate(spark: SparkSession, d: str) -> DataFrame:
     """Metadata of all papers of a record: first date, affiliations and titles in order, summed citations, distinct keywords."""
     i = records(spark, d).select("row", F.explode(F.array_distinct("ids")).alias("pmid"))
     p = papers(spark, d, "publication_date", "authorAffiliations", "title", "citedByCount", "keywords").withColumnRenamed("id", "pmid")
-    j = i.join(p, "pmid", "left")
+    return paper_facts(i, p, F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(fx.json_list("keywords"))))), ", ").alias("keywords"), F.count("*").alias("papers")).withColumnRenamed("row", "record_num")
+
+
+def paper_facts(ids: DataFrame, papers: DataFrame, *more: Column) -> DataFrame:
+    """Per ``row`` of (row, pmid) the papers' first date, affiliations and titles in order, and citations in all."""
     order = F.struct("pmid")
-    return j.groupBy(F.col("row").alias("record_num")).agg(
+    return ids.join(papers, "pmid", "left").groupBy("row").agg(
         F.min(F.nullif(F.trim("publication_date"), F.lit(""))).alias("publication_date"), R.ordered_join(F.nullif(F.trim("authorAffiliations"), F.lit("")), order, "; ").alias("affiliation"),
-        F.nullif(F.sum(F.coalesce("citedByCount", F.lit(0))), F.lit(0)).alias("num_citations"), R.ordered_join(F.col("title"), order, " | ").alias("paper_titles"), F.count("*").alias("papers"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(fx.json_list("keywords"))))), ", ").alias("keywords"),
+        F.nullif(F.sum(F.coalesce("citedByCount", F.lit(0))), F.lit(0)).alias("num_citations"), R.ordered_join(F.col("title"), order, " | ").alias("paper_titles"), *more,
     )
 
 

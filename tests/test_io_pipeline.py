@@ -122,7 +122,9 @@ def test_phases_and_profiles():
 def test_pipeline_runs_and_resumes(spark, tmp_path):
     inputs = {
         "ner_union": spark.read.parquet(f"{DATA}/ner_union.parquet"),
-        "papers": spark.read.parquet(f"{DATA}/papers_metadata.parquet").select("id", "title", "abstract"),
+        "papers": spark.read.parquet(f"{DATA}/papers_metadata.parquet"),
+        "documents": spark.read.parquet(f"{DATA}/documents.parquet"),
+        "countries": spark.read.parquet(f"{DATA}/country_list.parquet"),
         "known": spark.read.parquet(f"{DATA}/union_papers_with_primary_resources.parquet"),
         "scans": spark.read.parquet(f"{DATA}/papers_with_scanner_scores.parquet"),
     }
@@ -131,7 +133,12 @@ def test_pipeline_runs_and_resumes(spark, tmp_path):
     session.log.clear()
     log = P.run_pipeline(session, STAGES, profiles=["aggressive"])
     assert {e["status"] for e in log} == {"done"}
-    assert session.table("inventory_aggressive").count() > 0
+    final, merged = session.table("inventory_aggressive"), session.table("merged_aggressive")
+    assert final.count() == merged.count() == session.table("dedup_aggressive").count() > 0
+    own = session.table("dedup_aggressive").filter("trim(coalesce(resource_url, '')) <> ''").count()
+    assert merged.filter("url_origin = 'original'").count() == own and final.filter("url_origin <> 'none' and trim(coalesce(extracted_url, '')) = ''").count() == 0
+    assert {e["state"] for e in P.status(session, STAGES, ["aggressive"])} == {"done"} and len(session.description()["steps"]) == len(log)
+    assert [s.root for s in P.Session.all(spark, str(tmp_path))] == [P.Session.latest(spark, str(tmp_path)).root]
     again = P.Session.latest(spark, str(tmp_path))
     assert {e["status"] for e in P.run_pipeline(again, STAGES, profiles=["aggressive"])} == {"skipped"}
     stopped = P.Session(spark, session.root)
@@ -154,3 +161,29 @@ def test_streamed_stage_appends_only_new_rows(spark, tmp_path):
     run_stage(spark, source, schema, score_stage, target, state, "id")
     run_stage(spark, source, schema, score_stage, target, state, "id")
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == ["1", "2"]
+
+
+def test_recovered_urls_reach_the_inventory(spark):
+    from resinv.plans.stages import merge, recover
+
+    mapped = spark.createDataFrame([("1", "see https://a.example.org/db for it", ""), ("2", "none", None), ("3", "none", "http://own.org")], "pmid string, abstract string, resource_url string")
+    documents = spark.createDataFrame([("2", "we host it at http://b.example.org/x."), (None, "http://c.example.org")], "pmid string, text string")
+    found = recover(mapped, documents)
+    assert {r.pmid: (r.found_urls, r.url_source) for r in found.collect()} == {"1": ("https://a.example.org/db", "abstract"), "2": ("http://b.example.org/x", "fulltext")}
+    dedup = spark.createDataFrame([("", "a", "1", None), ("", "b", "2", ""), ("own.org", "c", "3", "http://own.org"), ("", "d", "9", None)], "host string, norm_entity string, pmid string, resource_url string")
+    scanned = spark.createDataFrame([("1", 7, "MEDIUM")], "pmid string, url_scanner_score int, url_likelihood string")
+    got = {r.norm_entity: (r.resource_url, r.url_origin, r.url_scanner_score) for r in merge(dedup, found, scanned).collect()}
+    assert got == {"a": ("https://a.example.org/db", "recovered", 7), "b": ("http://b.example.org/x", "recovered", None), "c": ("http://own.org", "original", None), "d": (None, "none", None)}
+
+
+def test_profiles_of_a_configuration_take_effect(spark, tmp_path):
+    from resinv.plans.profiles import load_profiles
+    from resinv.plans.stages import stages
+
+    (tmp_path / "p.yaml").write_text("filtering_profiles:\n  mine: {db_keywords: [zzz], linguistic_bypass_threshold: 99, setfit_threshold: 0.1, require_url: false}\ndefault_profile: mine\n")
+    known, default = load_profiles(str(tmp_path / "p.yaml"))
+    step = next(s for s in stages(known) if s.name == "dedup")
+    columns = "pmid string, title string, abstract string, in_linguistic boolean, in_setfit boolean, ling_score double, setfit_confidence double, primary_entity_long string, primary_entity_short string, status string, resource_url string, has_resource_url boolean, primary_score double, ner_confidence double, all_long string, all_short string"
+    mapped = spark.createDataFrame([("1", "A zzz of genes", None, True, True, 1.0, 0.9, "Z", None, None, None, False, 1.0, 1.0, None, None), ("2", "A database", None, True, True, 1.0, 0.9, "D", None, None, None, True, 1.0, 1.0, None, None)], columns)
+    assert default == "mine" and [r.norm_entity for r in step.run(mapped, "mine").collect()] == ["z"]
+    assert P.parse_profiles("all", known) == list(known)
