@@ -252,9 +252,29 @@ def url_similarity(a: dict[str, Column], b: dict[str, Column], equal: Column, do
     return F.when(equal, 1.0).when(none, 0.0).when(same, first).when(domain_sim > 0.85, second).otherwise(third)
 
 
+#: Fixed value: a meta refresh and its target.
+REFRESH = r"(?is)<meta[^>]*http-equiv=[\"']?refresh[\"']?[^>]*url=[\"']?([^\"'>\s]+)"
+
+
 def meta_refresh(html: Column | str) -> Column:
     """The target of a meta refresh, '' if there is none."""
-    return F.trim(F.regexp_extract(filled(html), r"(?is)<meta[^>]*http-equiv=[\"']?refresh[\"']?[^>]*url=[\"']?([^\"'>\s]+)", 1))
+    return F.trim(F.regexp_extract(filled(html), REFRESH, 1))
+
+
+def resolved(target: Column, base: Column) -> Column:
+    """A target as an absolute URL, seen from the page ``base``; '' stays ''.  Dot segments stay as they are."""
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    bare = F.regexp_replace(base, r"[?#].*$", "")
+    folder = F.when(F.length(bare) > F.length(origin), F.regexp_replace(bare, r"[^/]*$", "")).otherwise(F.concat(origin, F.lit("/")))
+    return (
+        F.when((target == "") | target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(target.startswith("/"), F.concat(origin, target))
+        .when(target.startswith("?"), F.concat(bare, target))
+        .when(target.startswith("#"), F.concat(F.regexp_replace(base, "#.*$", ""), target))
+        .otherwise(F.concat(folder, target))
+    )
 
 
 def page_title(html: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from resinv.functions import fixed as X
 from resinv.functions.text import filled
+from resinv.sources import files
 
 DATE = r"^\d{4}(-\d{2}(-\d{2})?)?$"
 
@@ -41,19 +43,21 @@ def read_json_cache(spark: SparkSession, path: str, value: str) -> DataFrame:
     return text.select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("id", "value"))
 
 
-def newest(pattern: str | Iterable[str]) -> str | None:
-    """The newest file that matches a pattern, the first pattern with a match deciding."""
+def newest(pattern: str | Iterable[str], spark: SparkSession | None = None) -> str | None:
+    """The newest file that matches a pattern, the first pattern with a match deciding; with a session on any file
+    system it reaches, else on the local one."""
     for p in [pattern] if isinstance(pattern, str) else pattern:
-        if found := glob.glob(p):
-            return max(found, key=lambda f: (os.path.getmtime(f), f))
+        found = files.listed(spark, p) if spark is not None else [(f, os.path.getmtime(f)) for f in glob.glob(p)]
+        if found:
+            return max(found, key=lambda x: (x[1], x[0]))[0]
     return None
 
 
-def first_existing(paths: Iterable[str]) -> str:
+def first_existing(paths: Iterable[str], spark: SparkSession | None = None) -> str:
     """The first of several paths that exists."""
     paths = list(paths)
     for p in paths:
-        if os.path.exists(p):
+        if files.exists(spark, p) if spark is not None else os.path.exists(p):
             return p
     raise FileNotFoundError(f"none of {paths} exists")
 
@@ -129,8 +133,28 @@ def look_up(ids: DataFrame, id_col: str, provider: Lookup, cache: DataFrame | No
     return fetched.unionByName(cache.join(wanted, cache[first] == wanted["_id"], "left_semi"))
 
 
+def look_up_in_steps(ids: DataFrame, id_col: str, provider: Lookup, cache: str, steps: int = 10, batch: int = 20) -> DataFrame:
+    """The same over a cache table at a path, which grows step by step: what a failed run fetched is kept.
+
+    Ids fall into steps by a hash; each step fetches its ids that the cache lacks and appends them.
+    """
+    spark = ids.sparkSession
+    wanted = ids.select(F.col(id_col).cast("string").alias("_id")).filter("_id is not null").distinct()
+    first = provider.schema.split()[0]
+    for step in range(steps):
+        part = wanted.filter(F.pmod(F.xxhash64("_id"), F.lit(steps)) == step)
+        known = spark.read.parquet(cache) if files.exists(spark, cache) else None
+        todo = part if known is None else part.join(known.select(F.col(first).alias("_id")), "_id", "left_anti")
+        look_up(todo, "_id", provider, None, batch).write.mode("append").parquet(cache)
+    held = spark.read.parquet(cache)
+    return held.join(wanted, held[first] == wanted["_id"], "left_semi")
+
+
 def paged(provider, query: str, start: str, end: str, limit: int = 100_000) -> Iterator[list[dict]]:
-    """Pages of a paged search: the query with its dates filled in, then every next page until there is none."""
+    """Pages of a paged search: the query with its dates filled in, then every next page until there is none.
+
+    More than ``limit`` pages raise an error, as a search that does not end would.
+    """
     for d in (start, end):
         if not valid_date(d):
             raise ValueError(f"no date: {d}")
@@ -141,6 +165,27 @@ def paged(provider, query: str, start: str, end: str, limit: int = 100_000) -> I
         url = page.get("next")
         if not url:
             return
+    raise RuntimeError(f"more than {limit} pages")
+
+
+def search(spark: SparkSession, provider, query: str, start: str, end: str) -> DataFrame:
+    """``(page, record)``: the records of a paged search as JSON, the months of the period searched side by side.
+
+    ``provider`` is sent to the workers; records of two months are told apart by the search itself.
+    """
+    if not (valid_date(start) and valid_date(end)):
+        raise ValueError(f"no dates: {start}, {end}")
+    day = lambda t: F.to_date(F.lit({4: f"{t}-01-01", 7: f"{t}-01"}.get(len(t), t)))
+    months = spark.range(1).select(F.explode(F.sequence(F.trunc(day(start), "month"), day(end), F.expr("interval 1 month"))).alias("m"))
+    months = months.select(F.greatest("m", day(start)).cast("string").alias("a"), F.least(F.last_day("m"), day(end)).cast("string").alias("b"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a, b in zip(pdf["a"], pdf["b"]):
+                for n, page in enumerate(paged(provider, query, a, b)):
+                    yield pd.DataFrame({"page": [f"{a}:{n}"] * len(page), "record": [json.dumps(r) for r in page]})
+
+    return months.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))).mapInPandas(run, "page string, record string")
 
 
 #: The nested record of a paper search, and its flat form.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from resinv.plans import pipeline as P
 from resinv.plans.stages import STAGES
-from resinv.sources import providers, readers, sinks
+from resinv.sources import providers, readers, scanner, sinks
 from resinv.streaming.incremental import run_stage, score_stage
 
 DATA = "/root/testdata/sf0.001"
@@ -86,14 +86,91 @@ def test_paged_search():
         list(readers.paged(pages.__getitem__, "q {} {}", "x", "2021"))
 
 
-def test_scan_pages_keeps_errors(spark):
+def test_scan_follows_refreshes_keeps_errors_and_asks_the_archive(spark):
+    pages = {"http://a.org/x/": '<meta http-equiv="refresh" content="0; url=../y">', "http://a.org/y": "<title>Gene database</title>", "http://loop.org/": '<meta http-equiv=refresh content="0;url=/">'}
+
     def fetch(u):
-        if "bad" in u:
+        if "slow" in u:
+            time.sleep(3)
+        if u not in pages:
             raise OSError("down")
-        return 200, "<title>x</title>"
+        return 200, u, pages[u]
+
+    urls = spark.createDataFrame([("http://a.org/x/",), ("http://bad.org",), (None,), (" ",), ("http://a.org/x/",), ("http://loop.org/",), ("http://slow.org",)], "u string")
+    archive = spark.createDataFrame([("http://bad.org", "20200101000000", "old"), ("http://bad.org", "20210203040506", "a"), ("http://bad.org", "20210203040506", "b"), ("http://a.org/x/", "20200101000000", "c")], "url string, stamp string, archive_url string")
+    got = {r.url: r for r in scanner.scan_urls(urls, "u", fetch, archive, seconds=1.0).collect()}
+    a, bad = got["http://a.org/x/"], got["http://bad.org"]
+    assert (a.final_url, a.hops, a.title, a.status, a.wayback_url) == ("http://a.org/y", 1, "Gene database", "ok", "") and a.total_score > 5
+    assert (bad.status, bad.wayback_url, bad.wayback_date) == ("error", "b", "2021-02-03") and "down" in bad.error_message
+    assert got["http://loop.org/"].hops == 0 and "timeout" in got["http://slow.org"].error_message and len(got) == 4
+    assert scanner.scan_urls(urls.limit(0), "u", fetch).count() == 0
+
+
+def test_liveness_and_places(spark):
+    places = spark.createDataFrame([("1.1", "DE", "1,2"), ("1.1", "FR", "3,4")], "address string, country string, coordinates string")
+    got = {r.url: tuple(r)[1:] for r in scanner.check_urls(spark.createDataFrame([("http://a.org",), ("http://b.org",)], "u string"), "u", lambda u: (200, "1.1") if "a" in u else (500, "9.9"), places).collect()}
+    assert got == {"http://a.org": (200, "1.1", True, "DE", "1,2", None), "http://b.org": (500, "9.9", False, "", "", None)}
+
+
+@pytest.mark.parametrize("target", ["", "/a", "b.html", "//h.org/c", "?q=2", "#top", "http://z.org/", "mailto:x"])
+@pytest.mark.parametrize("base", ["http://x.org", "http://x.org/d/e?f#g", "https://x.org/d/"])
+def test_resolved_against_the_standard(spark, base, target):
+    from urllib.parse import urljoin
+
+    from resinv.functions.urls import resolved
+
+    assert spark.range(1).select(resolved(F.lit(target), F.lit(base))).head()[0] == (urljoin(base, target) if target else "")
+
+
+def test_entity_rows_have_offsets_and_do_not_overlap(spark):
+    docs = spark.createDataFrame([(1, "The Gene-Bank of (gene  bank) GENE"), (2, None), (3, "")], "i int, t string")
+    patterns = spark.createDataFrame([("Gene Bank", "COM", "gb"), ("gene", "COM", "g"), ("GENE", "ALT", "z"), (None, "x", "y")], "pattern string, label string, canonical_id string")
+    got = sorted(tuple(r) for r in providers.entity_rows(docs, "i", "t", patterns).collect())
+    assert got == [(1, "GENE", "ALT", "z", "pattern", 30, 34), (1, "Gene-Bank", "COM", "gb", "pattern", 4, 13), (1, "gene  bank", "COM", "gb", "pattern", 18, 28)]
+    assert providers.entity_rows(docs, "i", "t", patterns.limit(0)).count() == 0
+
+
+def test_token_and_function_models(spark):
+    df = spark.createDataFrame([(1, "the Gene Bank here"), (2, None)], "i int, t string")
+    load = lambda: lambda texts: [[("B-COM" if w == "Gene" else "I-COM" if w == "Bank" else "O", 0.5) for w in ws] for ws in texts]
+    assert [tuple(r) for r in providers.TokenTagger(load, "t").rows(df, "i").collect()] == [(1, "Gene Bank", "COM", 0.5)]
+    scored = providers.FunctionScorer(lambda: lambda texts: [(len(x),) for x in texts], "t", "n long").score(df)
+    assert sorted(r.n for r in scored.collect()) == [0, 18]
+    assert {r.i: r.s for r in providers.TableScorer(spark.createDataFrame([(1, 9)], "i int, s int"), "i").score(df).collect()} == {1: 9, 2: None}
+
+
+def test_tabular_classifier_and_its_files(spark, tmp_path):
+    df = spark.createDataFrame([(float(i), None if i % 7 == 0 else 1.0, int(i > 50)) for i in range(100)], "a double, b double, label int")
+    model = providers.TabularClassifier(["a", "b"]).fit(df, "label")
+    assert model.score(df).filter("prediction = label").count() >= 90
+    sinks.write_model(model.model, str(tmp_path / "m"), spark, {"f1": 0.9})
+    assert json.loads((tmp_path / "m" / "metrics.json").read_text()) == {"f1": 0.9} and (tmp_path / "m" / "model").exists()
+
+
+def test_look_up_in_steps_keeps_what_it_fetched(spark, rows, tmp_path):
+    ids = spark.createDataFrame([(str(i),) for i in range(12)], "pmid string")
+    cache = str(tmp_path / "cache")
+    spark.createDataFrame([("1", "cached")], "id string, title string").write.parquet(cache)
+    got = dict(rows(readers.look_up_in_steps(ids, "pmid", Echo(), cache, steps=3)))
+    assert got["1"] == "cached" and got["2"] == "title 2" and len(got) == 11 and spark.read.parquet(cache).count() == 11
+
+
+def test_search_by_months(spark, rows):
+    provider = lambda url: {"results": [{"id": url}], "next": None}
+    got = readers.search(spark, provider, "{}..{}", "2020-11-15", "2021-01")
+    assert sorted(json.loads(r.record)["id"] for r in got.collect()) == ["2020-11-15..2020-11-30", "2020-12-01..2020-12-31", "2021-01-01..2021-01-01"]
+    with pytest.raises(RuntimeError):
+        list(readers.paged(lambda u: {"results": [], "next": u}, "{} {}", "2020", "2021", limit=3))
+
+
+def test_chunks_come_with_a_brief(spark, tmp_path):
+    sinks.write_chunks(spark.range(5).toDF("k"), ["k"], 2, str(tmp_path / "c"), "Search these.")
+    assert (tmp_path / "c" / "BRIEF.md").read_text() == "Search these.\n\n- chunk 1: 3 rows\n- chunk 2: 2 rows\n"
+
 
-    got = {r.url: r for r in providers.scan_pages(spark.createDataFrame([("http://a.org",), ("http://bad.org",), (None,), ("http://a.org",)], "u string"), "u", fetch).collect()}
-    assert got["http://a.org"].status_code == 200 and "down" in got["http://bad.org"].error_message and len(got) == 2
+def test_review_outputs(spark, tmp_path):
+    df = spark.createDataFrame([("a", "X", "ok", "http://a"), ("b", "", "review", "http://b"), ("c", None, "ok", " ")], "best_name string, name_modification_flags string, url_validation string, extracted_url string")
+    assert [spark.read.option("header", True).csv(p).count() for p in sinks.review_outputs(df, str(tmp_path))] == [1, 1, 1]
 
 
 def test_classifier_learns(spark):
