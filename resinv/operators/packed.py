@@ -1,16 +1,20 @@
 """Several values packed in one field: delimiter inference, split and explode with position.
 
-A *source* is the set of cells that share one convention; in an inventory typed by many curators that is
-the single cell, so delimiters are inferred cell by cell against the piece type of the field.  Candidate
-readings of a cell (list literal, each set of hard delimiters, soft delimiters on top) are scored by
+A *source* is the set of cells of one field that are written with the same hard marks (line breaks, bars, semicolons,
+slashes between spaces, tabs; what stands in quotes does not count).  Which of a source's marks end a value is
+inferred from all its cells together: every subset of the marks is scored by
 
-* piece type regularity - how far every piece looks like the type of the field (id, person, organisation,
+* piece type regularity - the share of pieces that look like the type of the field (id, person, organisation,
   title), and
-* piece count consistency - agreement with the count another column states, where the caller names one.
+* piece count consistency - the share of cells whose number of pieces is the one that another column states or,
+  where none does, is at least two.
 
-Everything runs inside one ``mapInPandas`` over the scan: no shuffle, nothing collected, one output row per
-value.  Cells of any length are read whole; the cost is linear in the cell except for the soft-delimiter
-decision, which is a dynamic programme over runs of at most four atoms.
+The scores are one aggregate over the scan, one row per source and subset.  The cells are then split, and commas and
+conjunctions, which may also stand within a value, end one where that makes the values of the cell more regular.
+
+Splitting runs inside one ``mapInPandas`` over the scan: no shuffle, one output row per value.  Cells of any length
+are read whole; the cost is linear in the cell except for the soft-delimiter decision, which is a dynamic programme
+over runs of at most four atoms.
 """
 
 from __future__ import annotations
@@ -218,11 +222,33 @@ def _regularity(values: list[str], kind: str) -> float:
     return sum(good) / len(good)
 
 
-def split_cell(text: str | None, kind: str = "organisation", expected: int | None = None) -> list[str]:
+def _best_reading(masked: str, held: list[str], present: tuple[str, ...], kind: str, expected: int | None) -> list[str]:
+    """The values of a cell by the subset of its marks that scores best on it alone."""
+    best: tuple[float, list[str]] | None = None
+    for size in range(len(present), -1, -1):
+        for hard in combinations(present, size):
+            values = _read(masked, held, hard, kind)
+            count = 1.0 if expected is None or len(values) == expected else 0.0
+            score = _regularity(values, kind) + 0.5 * count + _bonus(kind) * size + 0.01 * min(len(values), 9)
+            if best is None or score > best[0] + 1e-9:
+                best = (score, values)
+    return best[1] if best else []
+
+
+def _bonus(kind: str) -> float:
+    """What a mark that ends values is worth: less in titles, which may hold any of them."""
+    return 0.05 if kind == "title" else 0.6
+
+
+Marks = tuple[str, ...]
+
+
+def split_cell(text: str | None, kind: str = "organisation", expected: int | None = None, sources: dict[Marks, Marks] | None = None) -> list[str]:
     """The values of one cell, in order, trimmed, without enclosing quotes and with quote escapes undone.
 
-    Null, empty and blank cells hold no value; neither do empty elements.  ``expected`` is the piece count
-    that another column states: among readings of equal regularity the one with that count is taken.
+    Null, empty and blank cells hold no value; neither do empty elements.  ``sources`` says which of the marks of a
+    cell end its values.  A cell whose marks it does not know is a source of its own: all subsets are scored on it
+    alone, ``expected`` being the piece count that another column states.
     """
     if text is None or not text.strip():
         return []
@@ -237,16 +263,12 @@ def split_cell(text: str | None, kind: str = "organisation", expected: int | Non
     masked, held = _mask(text)
     marks = {("\n" if m in "\r\n" else m) for m in (x.group().strip(" ")[:1] or x.group()[:1] for x in _HARD.finditer(masked))}
     present = tuple(k for k in _HARD_KINDS if k in marks)
-    best: tuple[float, list[str]] | None = None
-    for size in range(len(present), -1, -1):
-        for hard in combinations(present, size):
-            values = _read(masked, held, hard, kind)
-            count = 1.0 if expected is None or len(values) == expected else 0.0
-            score = _regularity(values, kind) + 0.5 * count + (0.05 if kind == "title" else 0.6) * size + 0.01 * min(len(values), 9)
-            if best is None or score > best[0] + 1e-9:
-                best = (score, values)
+    if sources and present in sources:
+        values = _read(masked, held, sources[present], kind)
+    else:
+        values = _best_reading(masked, held, present, kind, expected)
     out = []
-    for v in best[1] if best else []:
+    for v in values:
         v = re.sub("\ue000(\\d+)\ue001", lambda m: _unescape(held[int(m[1])]) if m.group() == v else f'"{held[int(m[1])]}"', v)
         v = v.strip()
         if v:
@@ -254,12 +276,58 @@ def split_cell(text: str | None, kind: str = "organisation", expected: int | Non
     return out
 
 
+# One character for each hard mark, in the order of _HARD_KINDS, and what a regular piece of each kind looks like.
+_STAND_INS = "\n|;\ue003\t"
+_REGULAR = {"id": r"^[\w.:-]+$", "person": r"^[^|;\n\t\ue003]*\p{L}{2}[^|;\n\t\ue003]*$", "organisation": r"^[^|;\n\t\ue003]*\p{L}{2}[^|;\n\t\ue003]*$", "title": r"\p{L}", "place": r"^[^|;\n\t\ue003]*\p{L}{2}[^|;\n\t\ue003]*$"}
+
+
+def infer_sources(df: DataFrame, fields: dict[str, str], counts: dict[str, str] | None = None) -> dict[str, dict[Marks, Marks]]:
+    """Per field, for every set of marks that its cells are written with, those that end values.
+
+    One aggregate over all cells; it has at most one row per field, set of marks and subset of it.
+    """
+    counts = counts or {}
+    cells = []
+    for name, kind in fields.items():
+        t = F.trim(F.col(name).cast("string"))
+        t = F.when(t.rlike(r"(?s)^\[.*\]$|^\{.*\}$|^\(.*\)$") & (F.lit(kind) != "id"), None).otherwise(t)  # a list literal says itself where values end
+        t = F.regexp_replace(t, r'"(?:[^"\\]|""|\\.)*"', "Quoted")
+        if kind == "id":
+            t = F.regexp_replace(F.trim(F.regexp_replace(t, r"[\[\]{}]", " ")), r"[\s/]+", ";")
+        if kind == "place":
+            t = F.replace(t, F.lit(","), F.lit(";"))
+        t = F.regexp_replace(F.regexp_replace(t, r"\r?\n", "\n"), r"(?<=\s)/(?=\s|$)", "\ue003")
+        cells.append(F.struct(F.lit(name).alias("field"), F.lit(kind).alias("kind"), t.alias("t"), (F.col(counts[name]).cast("int") if name in counts else F.lit(None).cast("int")).alias("n")))
+    marks = F.concat(*[F.when(F.contains(F.col("t"), F.lit(m)), F.lit(m)).otherwise(F.lit("")) for m in _STAND_INS])
+    subsets = ["".join(c) for size in range(len(_STAND_INS) + 1) for c in combinations(_STAND_INS, size)]
+    each = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").filter("t is not null and t <> ''").withColumn("marks", marks).filter("marks <> ''")
+    inside = F.filter(F.array(*map(F.lit, subsets)), lambda x: F.call_function("translate", x, F.col("marks"), F.lit("")) == "")
+    each = each.withColumn("subset", F.explode(inside))
+    pieces = F.filter(F.transform(F.split(F.call_function("translate", F.col("t"), F.col("subset"), F.repeat(F.lit("\ue002"), F.length("subset"))), "\ue002"), lambda p: F.trim(p)), lambda p: p != "")
+    each = each.withColumn("pieces", pieces)
+    regular = F.lit(0.0)
+    for kind, pattern in _REGULAR.items():
+        regular = F.when(F.col("kind") == kind, F.size(F.filter("pieces", lambda p: p.rlike(pattern))) / F.greatest(F.size("pieces"), F.lit(1))).otherwise(regular)
+    consistent = F.when(F.col("n").isNotNull(), F.size("pieces") == F.col("n")).otherwise(F.size("pieces") >= 2).cast("int")
+    scores = each.groupBy("field", "kind", "marks", "subset").agg(F.avg(regular).alias("regular"), F.avg(consistent).alias("consistent")).collect()  # at most fields * 3^5 rows
+    best: dict[tuple[str, str], tuple[float, str]] = {}
+    for r in scores:
+        score = r.regular + 0.5 * r.consistent + _bonus(r.kind) * len(r.subset)
+        if (r.field, r.marks) not in best or (score, r.subset) > best[r.field, r.marks]:
+            best[r.field, r.marks] = (score, r.subset)
+    named = lambda x: tuple(k for k, m in zip(_HARD_KINDS, _STAND_INS) if m in x)
+    out: dict[str, dict[Marks, Marks]] = {f: {(): ()} for f in fields}
+    for (field, written), (_, chosen) in best.items():
+        out[field][named(written)] = named(chosen)
+    return out
+
+
 def split_packed(df: DataFrame, key: str, fields: dict[str, str], counts: dict[str, str] | None = None) -> DataFrame:
     """One row ``(key, field, pos, value)`` for every value packed in the given fields.
 
     ``fields`` maps a column to its piece type (``id``, ``person``, ``organisation``, ``title``, ``place``);
     ``counts`` maps a column to another one that states how many values it holds.  Positions start at 1 and
-    skip empty elements.  Null, empty or blank cells give no row, repeated rows give repeated values, an
+    skip empty elements.  The delimiters are inferred here, by one job over the cells.  Null, empty or blank cells give no row, repeated rows give repeated values, an
     empty table gives an empty result and columns not named are never read.
     """
     counts = counts or {}
@@ -268,6 +336,7 @@ def split_packed(df: DataFrame, key: str, fields: dict[str, str], counts: dict[s
     stated = [(F.col(counts[c]).cast("double") if c in counts else F.lit(None).cast("double")).alias(f"n{i}") for i, c in enumerate(names)]
     narrow = df.select(F.col(key).alias("k"), *cells, *stated)
     kinds = [fields[c] for c in names]
+    sources = infer_sources(df, fields, counts)
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -275,7 +344,7 @@ def split_packed(df: DataFrame, key: str, fields: dict[str, str], counts: dict[s
             for i, name in enumerate(names):
                 for k, text, n in zip(pdf["k"], pdf[f"v{i}"], pdf[f"n{i}"]):
                     if text is not None and text == text:
-                        values = split_cell(text, kinds[i], None if n is None or n != n else int(n))
+                        values = split_cell(text, kinds[i], None if n is None or n != n else int(n), sources[name])
                         rows.extend((k, name, pos, v) for pos, v in enumerate(values, 1))
             yield pd.DataFrame(rows, columns=[key, "field", "pos", "value"])
 

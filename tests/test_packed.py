@@ -3,6 +3,7 @@ import json
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from resinv.operators.packed import split_cell, split_packed
 
@@ -62,3 +63,16 @@ def test_very_long_cell():
     values = [f"1{i:07d}" for i in range(50_000)]
     assert split_cell("; ".join(values), "id") == values
     assert len(split_cell("; ".join(f"P. Berg{i}" for i in range(2000)).replace("0", "o"), "person")) == 2000
+
+
+def test_marks_that_end_values_are_inferred_per_source(spark):
+    """Titles with semicolons inside between bars, told by the stated counts of the other cells of the source."""
+    from resinv.operators.packed import infer_sources
+
+    rows = [(i, "Genes; a map|Cells; a view" if i % 4 else "Genes; a map|Cells", 2, "A. Berra;B. Lind") for i in range(40)] + [(99, None, None, None), (98, "", 0, "[]")]
+    df = spark.createDataFrame(rows, "k long, titles string, n int, people string").withColumn("field", F.lit("clash"))
+    found = infer_sources(df, {"titles": "title", "people": "person"}, {"titles": "n"})
+    assert found["titles"] == {(): (), ("|", ";"): ("|",)} and found["people"] == {(): (), (";",): (";",)}
+    got = [r.value for r in split_packed(df, "k", {"titles": "title"}, {"titles": "n"}).filter("k = 1").orderBy("pos").collect()]
+    assert got == ["Genes; a map", "Cells; a view"]
+    assert infer_sources(df.limit(0), {"titles": "title"}) == {"titles": {(): ()}}
