@@ -55,12 +55,6 @@ def first_filled(value: Column, order: Column) -> Column:
     return F.min(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))["v"]
 
 
-def distinct_tokens(value: Column, separator: str = "|") -> Column:
-    """The distinct trimmed pieces of all packed values of a group, sorted, packed again."""
-    pieces = F.flatten(F.collect_list(F.split(value, f"[{separator}]")))
-    return F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform(pieces, lambda x: F.trim(x)), lambda p: ~p.isin("", "nan")))), f" {separator} ")
-
-
 def list_lookup(df: DataFrame, keys: Column, table: DataFrame, key: str, value: str) -> DataFrame:
     """For each row the sorted distinct values of a lookup table over the keys of a list; [] if there are none.
 
