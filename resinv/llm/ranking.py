@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from resinv.operators.lineage import cut
 
 
+SALTS = 64
+
+
 def _before(parts: DataFrame, *keys: str) -> DataFrame:
     """With ``before``: the sizes of the ranges before each range, one row per range."""
     order = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,10 +70,11 @@ def rank_aggregate(items: DataFrame, key: str, scores: list[str]) -> DataFrame:
     out = narrow
     ranks = cut(mean_ranks(narrow, [f"s{i}" for i in range(len(scores))]))
     for i in range(len(scores)):
-        # items without the score go past the join, so that nulls make no hot key; adaptive execution splits hot values
-        own = ranks.filter(F.col("score") == i).select(F.col("value").alias(f"s{i}"), F.col("r").alias(f"r{i}"))
-        has = F.col(f"s{i}").isNotNull() & ~F.isnan(f"s{i}")
-        out = out.filter(has).join(own, f"s{i}").unionByName(out.filter(~F.coalesce(has, F.lit(False))).withColumn(f"r{i}", F.lit(None).cast("double")))
+        # items without the score are spread by a salt that no rank has, so that nulls make no hot key; adaptive
+        # execution splits hot values
+        own = ranks.filter(F.col("score") == i).select(F.col("value").alias(f"s{i}"), F.lit(0).alias("salt"), F.col("r").alias(f"r{i}"))
+        has = F.coalesce(~F.isnan(f"s{i}"), F.lit(False)) & F.col(f"s{i}").isNotNull()
+        out = out.withColumn("salt", F.when(has, 0).otherwise(1 + F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))).join(own, [f"s{i}", "salt"], "left").drop("salt")
     r = F.array_sort(F.array_compact(F.array(*[F.col(f"r{i}") for i in range(len(scores))])))
     out = out.withColumn("r", r).withColumn("scored", F.size("r"))
     rho = F.lit(1.0)
