@@ -232,3 +232,22 @@ def test_retrieval_finds_what_scoring_all_pairs_finds(spark):
     entries = spark.createDataFrame([(i, x) for i, x in enumerate(listed)], "i long, name string").withColumn("code", F.lit(None).cast("string"))
     got = {r.value: r.canon_id for r in map_to_list(spark.createDataFrame([(v,) for v in typed], "value string"), "value", entries, "i", "name", ["code"]).collect()}
     assert len(truth) > 60 and all(got[v] == i for v, i in truth.items())
+
+
+def test_no_step_of_the_name_classes_has_a_plan_of_many_shuffles(spark, monkeypatch):
+    from resinv.llm import rewritings as whole
+    from resinv.llm import variants
+
+    shuffles, cut = [], variants.cut
+
+    def counted(df):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        shuffles.append(plan.count("Join ") + plan.count("Aggregate(") // 2)  # an aggregate is two steps
+        return cut(df)
+
+    monkeypatch.setattr(variants, "cut", counted)
+    monkeypatch.setattr(whole, "cut", counted)
+    occ = spark.createDataFrame([("i1", "Gotafermirdo Protein Database"), ("i1", "GotafermirdoPD"), ("i2", "Gotafermirda Protein Database"), ("i3", "Gotafermir")], "row string, name string")
+    classes = {r["name"]: r["class"] for r in name_classes(occ).collect()}
+    assert len(classes) == 4 and classes["GotafermirdoPD"] == classes["Gotafermirda Protein Database"] == classes["Gotafermirdo Protein Database"]
+    assert max(shuffles) <= 24, str(sorted(shuffles)[-4:])
