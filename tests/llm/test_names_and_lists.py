@@ -251,3 +251,12 @@ def test_no_step_of_the_name_classes_has_a_plan_of_many_shuffles(spark, monkeypa
     classes = {r["name"]: r["class"] for r in name_classes(occ).collect()}
     assert len(classes) == 4 and classes["GotafermirdoPD"] == classes["Gotafermirda Protein Database"] == classes["Gotafermirdo Protein Database"]
     assert max(shuffles) <= 24, str(sorted(shuffles)[-4:])
+
+
+def test_bundles_without_dependencies_are_not_searched(spark):
+    df = spark.createDataFrame([(1, 1, "x", 0.5), (1, 2, "y", 0.5), (1, 3, "z", None), (2, 4, "x", 0.1), (3, 5, None, 1.0), (3, 6, None, 2.0)], "g long, r long, name string, p double")
+    bundles = [Bundle("name", ("name",), F.col("name").isNotNull(), (F.col("p"),)), Bundle("p", ("p",), F.col("p").isNotNull(), (F.col("p"),))]
+    out = best_bundles(df, "g", "r", bundles)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInPandas" not in plan and plan.count("Aggregate [") == 1
+    assert sorted(map(tuple, out.collect())) == [(1, "name", 1), (1, "p", 1), (3, "p", 6)]
