@@ -26,6 +26,8 @@ from pyspark.sql import types as T
 from resinv.operators.lineage import cut
 
 _PAD = np.uint64(0x51ED270B7A14C3D5)
+# Window starts of a text in one slice, so that a batch is small however long texts are; rows broadcast.
+SLICE_STARTS, MAX_BROADCAST_ROWS = 500, 100_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -104,7 +106,7 @@ def _window_keys(df: DataFrame, id_col: str, text_col: str, window: int, places:
                 doc = np.repeat(np.arange(len(sizes)), count)
                 pos = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 starts = begin[doc] + pos
-                ids = part["id"].to_numpy()
+                ids, before = part["id"].to_numpy(), part["before"].to_numpy()
                 for r in range(repetitions):
                     keys = walk_keys(flat, starts, window, places, 101 + r).view(np.int64)
                     keep = np.arange(len(keys))
@@ -113,9 +115,12 @@ def _window_keys(df: DataFrame, id_col: str, text_col: str, window: int, places:
                         keep = np.flatnonzero(known[at] == keys)
                     for some in np.array_split(keep, max(1, len(keep) // 50_000)):
                         words = flat[starts[some][:, None] + np.arange(window)].view(np.int64)
-                        yield pd.DataFrame({"id": ids[doc[some]], "pos": pos[some].astype(np.int32), "key": keys[some], "words": list(words)})
+                        yield pd.DataFrame({"id": ids[doc[some]], "pos": (before[doc[some]] + pos[some]).astype(np.int32), "key": keys[some], "words": list(words)})
 
     tokens = df.select(F.col(id_col).cast("long").alias("id"), word_hashes(F.col(text_col)).alias("tokens")).filter(F.col("id").isNotNull() & (F.size("tokens") >= window))
+    # every window starts in one slice and ends in it, as slices overlap by a window less one word
+    tokens = tokens.select("id", "tokens", F.explode(F.sequence(F.lit(0), F.greatest(F.size("tokens") - window, F.lit(0)), F.lit(SLICE_STARTS))).alias("before"))
+    tokens = tokens.select("id", "before", F.slice("tokens", F.col("before") + 1, F.lit(SLICE_STARTS + window - 1)).alias("tokens"))
     return tokens.mapInPandas(run, "id long, pos int, key long, words array<long>")
 
 
@@ -156,18 +161,18 @@ def leaked_windows(
     """
     repetitions = repetitions_for(window, places, max_edits, recall)
     item_keys = _window_keys(items, item_id, item_text, window, places, repetitions, None)
-    distinct = item_keys.select("key").distinct()
-    distinct = cut(distinct)
+    distinct = cut(item_keys.groupBy("key").agg(F.count("*").alias("n")))
     bounded = distinct.limit(max_filter_keys + 1).count() <= max_filter_keys
     known = None
     if bounded:
-        known = np.sort(np.array([r.key for r in distinct.collect()], dtype=np.int64))  # checked: at most max_filter_keys
+        known = np.sort(distinct.select("key").toArrow()["key"].to_numpy().astype(np.int64))  # checked: at most max_filter_keys, 8 bytes each
         if len(known) == 0:
             known = np.array([np.iinfo(np.int64).max], dtype=np.int64)
     doc_keys = _window_keys(corpus, corpus_id, corpus_text, window, places, repetitions, known)
     i = item_keys.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "key", F.col("words").alias("iw"))
     c = doc_keys.select(F.col("id").alias("doc_id"), F.col("pos").alias("doc_pos"), "key", F.col("words").alias("dw"))
-    small = distinct.limit(100_001).count() <= 100_000  # windows of items, 100 bytes each
+    # windows of items, 150 bytes each; a key counts as often as items repeat it
+    small = (distinct.agg(F.sum("n")).first()[0] or 0) <= MAX_BROADCAST_ROWS
     pairs = c.join(F.broadcast(i) if small else i.hint("merge"), "key")
     if max_edits == 0:
         return pairs.filter("iw = dw").select("item_id", "item_pos", "doc_id", "doc_pos", F.lit(0).alias("edits")).distinct()

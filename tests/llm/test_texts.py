@@ -137,6 +137,32 @@ def test_leaks_against_brute_force(spark):
     assert leaked_windows(dd, "doc_id", "text", di.limit(0), "item_id", "text").count() == 0
 
 
+def test_many_items_of_one_text_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("resinv.llm.leaks.MAX_BROADCAST_ROWS", 100)
+    text = " ".join(WORDS[:20])  # 9 windows
+    di, dd = spark.range(40).select(F.col("id").alias("item_id"), F.lit(text).alias("text")), spark.range(3).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    found = leaked_windows(dd, "doc_id", "text", di, "item_id", "text")
+    assert "strategy=broadcast" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 40 * 3 * 9
+    few = leaked_windows(dd, "doc_id", "text", di.limit(2), "item_id", "text")
+    assert "strategy=broadcast" in few._jdf.queryExecution().optimizedPlan().toString() and few.count() == 2 * 3 * 9
+
+
+def test_windows_of_a_long_text_are_read_in_slices(spark):
+    from resinv.llm import leaks
+
+    r = random.Random(4)
+    long = [r.choice(WORDS) for _ in range(2600)]
+    ends = [(0, 0), (1, 480), (2, 489), (3, 499), (4, 500), (5, 1000), (6, len(long) - 20), (7, len(long) - 12)]
+    di = spark.createDataFrame([(i, " ".join(long[at : at + 20])) for i, at in ends], "item_id long, text string")
+    dd = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(long[:12])), (3, " ".join(long[:511])), (4, " ".join(long[:512]))], "doc_id long, text string")
+    got = sorted((x.item_id, x.item_pos, x.doc_id, x.doc_pos) for x in leaked_windows(dd, "doc_id", "text", di, "item_id", "text").collect())
+    sizes = {1: 2600, 2: 12, 3: 511, 4: 512}
+    assert got == sorted((i, p, d, at + p) for i, at in ends for p in range(min(20, len(long) - at) - 11) for d, n in sizes.items() if at + p + 12 <= n)
+    tokens = leaks._window_keys(dd, "doc_id", "text", 12, 6, 1, None)
+    assert "sequence(0" in tokens._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_leaks_with_edits_reach_the_recall(spark):
     items, docs = leak_tables(spark, 5)
 
