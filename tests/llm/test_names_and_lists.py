@@ -260,3 +260,27 @@ def test_bundles_without_dependencies_are_not_searched(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInPandas" not in plan and plan.count("Aggregate [") == 1
     assert sorted(map(tuple, out.collect())) == [(1, "name", 1), (1, "p", 1), (3, "p", 6)]
+
+
+def test_no_table_of_names_is_broadcast(spark, monkeypatch, tmp_path):
+    # the planner takes an exploded array for one element, so even large tables pass for small ones
+    from resinv.llm import queries, resources, variants
+    from resinv.llm import rewritings as whole
+    from resinv.operators import components as groups
+
+    plans, cut = [], variants.cut
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return cut(df)
+
+    for module in (variants, whole, groups, resources, queries):
+        monkeypatch.setattr(module, "cut", seen)
+    inventory = [(1, "Gotafermirdo Protein Database", "GotafermirdoPD", None, 0.5, "http://gotafermirdo.example", "2020"), (2, "Gotafermirda Protein Database", None, None, 0.7, None, "2021-02"), (3, "PIDB", "Protein Interaction Database", None, None, None, None)]
+    spark.createDataFrame(inventory, "record_num long, best_name string, best_full string, best_common string, best_name_prob double, extracted_url string, publication_date string").write.parquet(f"{tmp_path}/final_inventory.parquet")
+    spark.createDataFrame([("7", "Protein Interaction Database", "PIDB"), ("8", "Gotafermirdo Protein Database", None)], "pmid string, primary_entity_long string, primary_entity_short string").write.parquet(f"{tmp_path}/union_papers_with_primary_resources.parquet")
+    for name, rows in (("p1_found", 3), ("p3_found", 2)):
+        out = queries.QUERIES[name](spark, str(tmp_path))
+        plans.append(out._jdf.queryExecution().sparkPlan().toString())
+        assert out.count() == rows
+    assert len(plans) > 30 and not [p[:300] for p in plans if "Broadcast" in p]
