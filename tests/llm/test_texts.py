@@ -321,3 +321,25 @@ def test_units_join_wrapped_lines():
     text = "This sentence goes on over the end of\nthe line and ends here. Another one\nis also wrapped."
     assert [s for _, s in units(text)] == [""]
     assert [s for _, s in units("- one\n- two\n\nA | B | C\nD | E | F\nG | H | I")] == ["list_items", "list_items", "table_rows", "table_rows", "table_rows"]
+
+
+def test_no_texts_or_keys_without_a_bound_are_broadcast(spark, monkeypatch, tmp_path):
+    # the planner takes an array for one element, so draws and tokens pass for small
+    from resinv.llm import near, queries
+
+    plans, cut = [], near.cut
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(near, "cut", seen)
+    monkeypatch.setattr(queries, "cut", seen)
+    monkeypatch.setattr(near, "MOST_BROADCAST", 0)  # as if there were too many keys
+    words = [f"word{i}" for i in range(40)]
+    rows = [(str(i), " ".join(words[: 40 - i]), None) for i in range(4)] + [("9", " ".join(words), None), ("10", "quite other words", "")]
+    spark.createDataFrame(rows, "id string, title string, abstract string").write.parquet(f"{tmp_path}/papers_metadata.parquet")
+    out = queries.QUERIES["p5_found"](spark, str(tmp_path))
+    plans.append(out._jdf.queryExecution().sparkPlan().toString())
+    assert out.count() == 10
+    assert not [p[:300] for p in plans if "Broadcast" in p]
