@@ -241,6 +241,23 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([1.0 if x == y else difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+def ratio_within_reach(a: Column, b: Column, least: float) -> Column:
+    """Whether ``sequence_ratio`` of two texts can be ``least`` or more, by edit distance, without Python.
+
+    The ratio is twice the matched letters over all letters n, and what is matched is a common subsequence, so at most
+    (1 - least) * n letters are unmatched, and no more edits than that lead from one text to the other.
+    """
+    x, y = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
+    most = F.floor((F.length(x) + F.length(y)) * (1 - least) + 1e-6).cast("int")
+    return (F.abs(F.length(x) - F.length(y)) <= most) & (F.levenshtein(x, y) <= most)
+
+
+def reached_ratio(a: Column, b: Column, least: float) -> Column:
+    """``sequence_ratio`` where it can be ``least`` or more, else 0; Python gets nulls, which cost nothing, for the rest."""
+    able = ratio_within_reach(a, b, least)
+    return F.when(able, sequence_ratio(F.when(able, a), F.when(able, b))).otherwise(0.0)
+
+
 def url_similarity(a: dict[str, Column], b: dict[str, Column], equal: Column, domain_sim: Column, path_sim: Column, sub_sim: Column) -> Column:
     """Similarity of two URLs from their parts and the ratios of their parts."""
     same = (a["domain"] == b["domain"]) & (a["tld"] == b["tld"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resinv.functions.urls import authority, normal_aggressive, normal_strict, sequence_ratio, url_components, url_similarity, with_scheme
+from resinv.functions.urls import authority, normal_aggressive, normal_strict, reached_ratio, url_components, url_similarity, with_scheme
 from resinv.operators.components import components
 from resinv.operators.lineage import cut
 
@@ -38,9 +38,10 @@ def _rated(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
     pairs = a.join(b.hint("merge"), "block").filter(condition)
     da, db = ({k: F.col(f"p{x}.{k}") for k in ("domain", "tld", "path", "full_domain", "subdomain")} for x in "ab")
     # the ratio depends on the order of its texts: in a fixed order, URLs of the same parts get the same ratio
-    ratios = [sequence_ratio(F.least(da[k], db[k]), F.greatest(da[k], db[k])).alias(f"_{k}") for k in ("domain", "path", "subdomain")]
+    # within a block the domain is the same, and the other ratios count only above 0.8
+    ratios = [reached_ratio(F.least(da[k], db[k]), F.greatest(da[k], db[k]), 0.8).alias(f"_{k}") for k in ("path", "subdomain")]
     equal = (F.col("ga") == F.col("gb")) | ((F.col("na") == F.col("nb")) & (F.col("na") != ""))
-    score = url_similarity(da, db, equal, F.col("_domain"), F.col("_path"), F.col("_subdomain"))
+    score = url_similarity(da, db, equal, F.lit(1.0), F.col("_path"), F.col("_subdomain"))
     return pairs.select("*", *ratios).select(F.col("ua").alias("a"), F.col("ub").alias("b"), score.alias("similarity"))
 
 

@@ -170,3 +170,15 @@ def test_literal_lists_and_paper_ids(spark):
     df = spark.createDataFrame([("['a', 'b']",), ('["it\'s", "b"]',), ("a, b",), (None,), ("PMID 12345678, 1234567 and 123456 or x12345678",)], "t string")
     got = [tuple(r) for r in df.select(fx.literal_list("t"), fx.paper_ids("t")).collect()]
     assert got == [(["a", "b"], []), (["it's", "b"], []), (None, []), (None, []), (None, ["12345678", "1234567"])]
+
+
+def test_python_compares_only_texts_that_can_be_alike_enough(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = ["", "a", "/data", "/data/v2", "Größe der Daten", "protein database"] + ["".join(rng.choice("ab/") for _ in range(rng.randrange(1, 12))) for _ in range(40)]
+    pairs = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string")
+    for least in (0.7, 0.8, 0.9):
+        got = pairs.select(ux.sequence_ratio("a", "b").alias("r"), ux.reached_ratio(F.col("a"), F.col("b"), least).alias("x"), ux.ratio_within_reach(F.col("a"), F.col("b"), least).alias("able")).collect()
+        assert all(g.x == g.r for g in got if g.r >= least) and all(g.x < least for g in got if g.r < least)
+        assert sum(g.able for g in got) < len(got) / 2
