@@ -65,12 +65,17 @@ def candidates(a: DataFrame, b: DataFrame, least: int = 4, salts: int = 8) -> Da
     return blocked.unionByName(inside).filter("a_low <> b_low").distinct()
 
 
-def score_pairs(pairs: DataFrame) -> DataFrame:
-    """The pairs with score, signals, edit_distance, confidence, is_match and review_flags."""
+def score_pairs(pairs: DataFrame, least: float | None = None) -> DataFrame:
+    """The pairs with score, signals, edit_distance, confidence, is_match and review_flags.
+
+    With ``least``, pairs whose score cannot reach it may be left out: the long names, which Python compares, add 0.8 or
+    0.4 at most, and only where their edit distance lets them be so alike.
+    """
     x, y = F.col("a_low"), F.col("b_low")
     same = (F.col("a_eff") != "") & (F.col("a_eff") == F.col("b_eff"))
     generic = same & ux.is_generic_domain(F.col("a_base"))
     ed = F.levenshtein(x, y)
+    la, lb = F.lower(F.coalesce("a_long", F.lit(""))), F.lower(F.coalesce("b_long", F.lit("")))
     inner = F.when(F.contains(y, x), nx.containment(x, y)).when(F.contains(x, y), nx.containment(y, x)).otherwise(0.0)
     inner = F.when((F.length(x) >= 4) & (F.length(y) >= 4), inner).otherwise(0.0)
     has_urls = (F.coalesce("a_url", F.lit("")) != "") & (F.coalesce("b_url", F.lit("")) != "")
@@ -79,12 +84,16 @@ def score_pairs(pairs: DataFrame) -> DataFrame:
     d = d.withColumn("_digits", nx.digits_only_differ(x, y)).withColumn("_suffix", nx.database_suffix_differs(x, y))
     d = d.withColumn("_url", F.when(has_urls & alike, 2.0).when(has_urls & (F.col("a_base") == F.col("b_base")) & (F.col("a_base") != ""), F.when(F.col("a_path") == F.col("b_path"), 1.0).otherwise(0.6)).otherwise(0.0))
     long_ok = (F.coalesce("a_long", F.lit("")) != "") & (F.coalesce("b_long", F.lit("")) != "")
-    d = d.withColumn("_ls", F.when(long_ok, ux.sequence_ratio(F.lower(F.coalesce("a_long", F.lit(""))), F.lower(F.coalesce("b_long", F.lit(""))))).otherwise(0.0))
     e = F.col("edit_distance")
     by_edit = F.when(e == 0, 3.0).when((e == 1) & (F.length(x) >= 3), 1.0).when((e == 2) & (F.length(x) >= 4), 0.6).when((e == 3) & (F.length(x) >= 5), 0.3).otherwise(0.0)
-    by_long = F.when(F.col("_ls") >= 0.9, 0.8).when(F.col("_ls") >= 0.7, 0.4).otherwise(0.0)
     domain = F.when(F.col("_generic"), 0.25).when(F.col("_same"), 0.75).otherwise(0.0)
-    score = domain + F.when(F.col("_digits"), 1.5).otherwise(0.0) + F.when(F.col("_suffix"), 1.0).otherwise(0.0) + by_edit + F.col("_in") + F.col("_url") + by_long
+    base = domain + F.when(F.col("_digits"), 1.5).otherwise(0.0) + F.when(F.col("_suffix"), 1.0).otherwise(0.0) + by_edit + F.col("_in") + F.col("_url")
+    if least is not None:
+        reach = F.when(~long_ok, 0.0).when(ux.ratio_within_reach(la, lb, 0.9), 0.8).when(ux.ratio_within_reach(la, lb, 0.7), 0.4).otherwise(0.0)
+        d = d.filter((base >= least - 0.006) | (base + reach >= least - 0.006))  # the score is rounded to two places
+    d = d.withColumn("_ls", F.when(long_ok, ux.reached_ratio(la, lb, 0.7)).otherwise(0.0))
+    by_long = F.when(F.col("_ls") >= 0.9, 0.8).when(F.col("_ls") >= 0.7, 0.4).otherwise(0.0)
+    score = base + by_long
     signals = F.array_compact(
         F.array(
             F.when(F.col("_generic"), "SAME_DOMAIN_GENERIC").when(F.col("_same"), "SAME_DOMAIN_SPECIFIC"),
@@ -132,5 +141,5 @@ def fuzzy_match(extracted: DataFrame, baseline: DataFrame) -> DataFrame:
     exact = exact.withColumn("signal_count", F.lit(1)).withColumn("confidence", F.lit("HIGH")).withColumn("is_match", F.lit("Y")).withColumn("review_flags", F.lit(""))
     rest = extracted.join(baseline, extracted["a_low"] == baseline["b_low"], "left_anti")
     pairs = candidates(rest, baseline).join(rest, "a_low").join(baseline, "b_low")
-    best = best_candidates(score_pairs(pairs)).select(*exact.columns)
+    best = best_candidates(score_pairs(pairs, LEAST)).select(*exact.columns)
     return one_to_one(exact.unionByName(best))

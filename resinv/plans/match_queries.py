@@ -125,7 +125,7 @@ def fuzzy_best(spark: SparkSession, d: str) -> DataFrame:
     """The best candidate of each short name that has no exact match."""
     a, b = _sides(spark, d)
     rest = a.join(b, a["a_low"] == b["b_low"], "left_anti")
-    scored = M.score_pairs(M.candidates(rest, b).join(rest, "a_low").join(b, "b_low"))
+    scored = M.score_pairs(M.candidates(rest, b).join(rest, "a_low").join(b, "b_low"), M.LEAST)
     return M.best_candidates(scored).select("a_name", "b_name", "score", F.array_join("signals", ",").alias("signals"), "signal_count", "edit_distance", "confidence", "is_match", "review_flags")
 
 
